@@ -63,14 +63,20 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame, key: str | None = None) -> DataFrame:
-    """Hash-partition ``df`` over the session's shuffle partitions.
+    """Spread ``df`` over the cluster when its scan yields too few splits.
 
-    Used before CPU-heavy row work (regex on long texts, vector maths) when
-    the scan yields fewer splits than there are cores. With ``key`` the
-    partitioning is reused by a later aggregation or join on that key, so the
-    exchange is paid once.
+    Used before CPU-heavy row work (regex on long texts, vector maths). A
+    small single-file input gives one split, i.e. one task; it is then
+    repartitioned over the shuffle partitions (by ``key`` when given, so a
+    later aggregation or join on that key reuses the partitioning). An input
+    that already has at least as many splits as the cluster has cores, as
+    any large table does, is returned unchanged: no extra exchange.
     """
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= cores:
+        return df
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     if key is None:
         return df.repartition(n)
     return df.repartition(n, F.col(key))
