@@ -76,20 +76,22 @@ def letter_ratio(t) -> Column:
     return letter_count(s) / F.greatest(F.lit(1), F.length(s))
 
 
-def good_text(t, min_words: int, min_ratio: float) -> Column:
-    s = strip(t)
+def good_text(t, min_words: int, min_ratio: float, stripped: bool = False) -> Column:
+    """Word count and letter ratio test on the stripped text. Pass
+    ``stripped=True`` when ``t`` is already stripped (saves a regex pass)."""
+    s = _c(t) if stripped else strip(t)
     return (word_count(s) >= F.lit(min_words)) & (
         letter_count(s) / F.greatest(F.lit(1), F.length(s)) >= F.lit(float(min_ratio)))
 
 
-def good_line(t, min_words: int = 5, min_ratio: float = 0.3) -> Column:
+def good_line(t, min_words: int = 5, min_ratio: float = 0.3, stripped: bool = False) -> Column:
     """F1: at least 5 words and a letter ratio of at least 0.3."""
-    return good_text(t, min_words, min_ratio)
+    return good_text(t, min_words, min_ratio, stripped)
 
 
-def good_summary(t, min_words: int = 8, min_ratio: float = 0.4) -> Column:
+def good_summary(t, min_words: int = 8, min_ratio: float = 0.4, stripped: bool = False) -> Column:
     """F2: at least 8 words and a letter ratio of at least 0.4."""
-    return good_text(t, min_words, min_ratio)
+    return good_text(t, min_words, min_ratio, stripped)
 
 
 def non_blank(t) -> Column:

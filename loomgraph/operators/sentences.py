@@ -19,9 +19,24 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return docs.select(F.col(id_col).alias("doc_id"), tx.clean_text(tx.english_fix(t)).alias("text"))
 
 
+def keep_rows(df: DataFrame, predicate) -> DataFrame:
+    """``df.where(predicate(row))`` evaluated once per row.
+
+    Catalyst pushes a filter below the projection that computes its input
+    and substitutes the expression for every reference, so a predicate
+    reading a cleaned text three times would clean it three more times
+    (filters get no common-subexpression elimination). Wrapping the row in
+    a one-element array and filtering it with a lambda binds the computed
+    row to one variable; ``inline`` then emits the rows that pass.
+    """
+    row = F.struct(*[F.col(c) for c in df.columns])
+    return df.select(F.inline(F.filter(F.array(row), predicate)))
+
+
 def good_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Cleaned documents that pass F1 (the article-level filter)."""
-    return clean_documents(docs, id_col, text_col).where(tx.good_line("text"))
+    clean = clean_documents(docs, id_col, text_col)
+    return keep_rows(clean, lambda r: tx.good_line(r["text"], stripped=True))
 
 
 def sentence_pieces(clean: DataFrame) -> DataFrame:
@@ -35,10 +50,14 @@ def split_sentences(clean: DataFrame, min_words: int = 5, min_ratio: float = 0.3
     ``pos`` is the piece's position in its document before filtering, so
     (doc_id, pos) is a stable sentence key. The second split of the
     reference (G2) is a no-op for a rule splitter and is not repeated.
+    Pieces are stripped and tested inside one array expression per
+    document, so each piece is stripped once.
     """
-    p = sentence_pieces(clean).select("doc_id", F.col("pos").cast("long").alias("pos"),
-                                      tx.strip("piece").alias("sentence"))
-    return p.where((F.col("sentence") != F.lit("")) & tx.good_line("sentence", min_words, min_ratio))
+    pieces = F.transform(tx.sentence_split("text"),
+                         lambda p, i: F.struct(i.cast("long").alias("pos"), tx.strip(p).alias("sentence")))
+    kept = F.filter(pieces, lambda r: (r["sentence"] != F.lit(""))
+                    & tx.good_line(r["sentence"], min_words, min_ratio, stripped=True))
+    return clean.select("doc_id", F.inline(kept))
 
 
 def corpus_sentences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -41,7 +41,7 @@ SELECT doc_id, {S.word_count('text')} AS n_words, {S.letter_count('text')} AS n_
        CAST(length(text) AS BIGINT) AS n_chars
 FROM clean WHERE {S.good_line('text')}""")
 def q_good_lines(spark, sf_dir):
-    g = cleaned(spark, sf_dir).where(tx.good_line("text"))
+    g = st.good_documents(docs(spark, sf_dir))
     return g.select("doc_id", tx.word_count("text").alias("n_words"),
                     tx.letter_count("text").alias("n_letters"),
                     F.length("text").cast("long").alias("n_chars"))
@@ -70,7 +70,7 @@ def q_sentence_counts(spark, sf_dir):
 def _piece_counts(text_col):
     parts = tx.sentence_split(text_col)
     kept = F.filter(F.transform(parts, tx.strip),
-                    lambda p: (p != F.lit("")) & tx.good_line(p))
+                    lambda p: (p != F.lit("")) & tx.good_line(p, stripped=True))
     return (F.size(parts).cast("long").alias("n_pieces"), F.size(kept).cast("long").alias("n_sentences"))
 
 
@@ -83,7 +83,7 @@ SELECT (SELECT count(*) FROM documents) AS n_docs,
 def q_stage_counts(spark, sf_dir):
     """A1: row counts before and after each stage, as one aggregate over
     per-document counts (one pass, partial aggregation on every task)."""
-    c = st.clean_documents(docs(spark, sf_dir)).withColumn("good", tx.good_line("text"))
+    c = st.clean_documents(docs(spark, sf_dir)).withColumn("good", tx.good_line("text", stripped=True))
     n_pieces, n_sent = _piece_counts("text")
     per_doc = c.select("good", F.when(F.col("good"), n_pieces).otherwise(F.lit(0)).alias("p"),
                        F.when(F.col("good"), n_sent).otherwise(F.lit(0)).alias("s"))
@@ -139,4 +139,5 @@ SELECT doc_id, {S.word_count('text')} AS n_words FROM f WHERE {S.good_summary('t
 def q_good_summaries(spark, sf_dir):
     d = docs(spark, sf_dir)
     f = d.select("doc_id", tx.summary_fix(F.coalesce("text", F.lit(""))).alias("text"))
-    return f.where(tx.good_summary("text")).select("doc_id", tx.word_count("text").alias("n_words"))
+    f = st.keep_rows(f, lambda r: tx.good_summary(r["text"], stripped=True))
+    return f.select("doc_id", tx.word_count("text").alias("n_words"))
