@@ -32,11 +32,19 @@ def ordinal_in_group(df: DataFrame, group: str, order: str, bucket: int = 4096)
             .drop("_b", "_off"))
 
 
+def assign_chunks(sentences: DataFrame, chunk_size: int) -> DataFrame:
+    """Sentences with their per-document ``chunk`` number."""
+    s = ordinal_in_group(sentences, "doc_id", "pos")
+    return s.withColumn("chunk", F.floor(F.col("ordinal") / F.lit(chunk_size)).cast("long"))
+
+
 def chunks_per_document(sentences: DataFrame, chunk_size: int) -> DataFrame:
     """G3, per document: consecutive ``chunk_size`` sentences joined by a
     space; the last chunk may be short. ``(doc_id, chunk, n_sentences, text)``."""
-    s = ordinal_in_group(sentences, "doc_id", "pos")
-    s = s.withColumn("chunk", F.floor(F.col("ordinal") / F.lit(chunk_size)).cast("long"))
+    return chunk_texts(assign_chunks(sentences, chunk_size))
+
+
+def chunk_texts(s: DataFrame) -> DataFrame:
     return (s.groupBy("doc_id", "chunk")
             .agg(F.count(F.lit(1)).alias("n_sentences"),
                  F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "sentence"))),

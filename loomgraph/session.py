@@ -61,3 +61,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError(
         "spark.checkpoint.dir is not set: iterative operators need a shared "
         "checkpoint folder on a cluster")
+
+
+def materialize(df, name: str = "t"):
+    """Write ``df`` as parquet under the checkpoint folder and read it back.
+
+    Used instead of ``DataFrame.checkpoint()`` in iterative jobs: a
+    checkpoint keeps the statistics of the plan it replaced, and in a loop
+    of joins those estimates compound round after round (a size estimate
+    with millions of digits after a dozen rounds makes planning itself the
+    bottleneck). A re-read table has fresh statistics and no lineage, and it
+    lives in the shared checkpoint folder, so lost executors re-read it.
+    """
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/loomgraph-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
