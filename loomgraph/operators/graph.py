@@ -44,9 +44,10 @@ def community_sizes(labels: DataFrame, community: str = "community") -> DataFram
 def community_order(labels: DataFrame, node: str = "id", community: str = "community") -> DataFrame:
     """Communities in order of first appearance, i.e. by smallest member id
     (L4): ``(community, first_node, position)``."""
+    from loomgraph.operators.chunks import global_ordinal
     first = labels.groupBy(community).agg(F.min(node).alias("first_node"))
-    w = Window.orderBy("first_node")
-    return first.withColumn("position", F.row_number().over(w).cast("long"))
+    return global_ordinal(first, ["first_node"]).select(
+        community, "first_node", (F.col("ordinal") + 1).alias("position"))
 
 
 def degree_centrality(edges: DataFrame, labels: DataFrame, node: str = "id",
