@@ -40,7 +40,10 @@ def f_measure(p: Column, r: Column) -> Column:
 
 def rouge_n(pairs: DataFrame, key: list[str], pred: str, ref: str, n: int) -> DataFrame:
     """Per pair ``(*key, precision, recall, fmeasure)`` for ROUGE-``n``."""
-    g = pairs.select(*key, ngrams(tokens(pred), n).alias("gp"), ngrams(tokens(ref), n).alias("gr"))
+    # tokens bound once per side (a lambda would re-run the regex per gram)
+    t = pairs.select(*key, F.array(tokens(pred)).alias("tp"), F.array(tokens(ref)).alias("tr"))
+    g = t.select(*key, F.transform("tp", lambda x: ngrams(x, n))[0].alias("gp"),
+                 F.transform("tr", lambda x: ngrams(x, n))[0].alias("gr"))
     sizes = g.select(*key, F.size("gp").alias("np"), F.size("gr").alias("nr"))
     cp = g.select(*key, F.explode("gp").alias("gram")).groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("cp"))
     cr = g.select(*key, F.explode("gr").alias("gram")).groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("cr"))

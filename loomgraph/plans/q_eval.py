@@ -29,7 +29,8 @@ def _grams_sql(e: str, n: int) -> str:
     t = f"regexp_extract_all(lower(coalesce({e}, '')), {S.q(rg.TOKEN)})"
     if n == 1:
         return t
-    return f"list_transform(range(len({t}) - 1), lambda i: {t}[i + 1] || ' ' || {t}[i + 2])"
+    return (f"list_transform([{t}], lambda t: list_transform(range(len(t) - 1), "
+            f"lambda i: t[i + 1] || ' ' || t[i + 2]))[1]")
 
 
 def rouge_sql(pairs_cte_sql: str, key: list[str], n: int) -> str:
