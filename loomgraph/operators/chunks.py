@@ -84,14 +84,14 @@ def chunks_corpus(sentences: DataFrame, chunk_size: int) -> DataFrame:
                                           lambda x: x["sentence"]), " ").alias("text")))
 
 
-def token_pack(sentences: DataFrame, group: str, order: str, text: str, max_tokens: int) -> DataFrame:
+def pack_assign(sentences: DataFrame, group: str, order: str, text: str, max_tokens: int) -> DataFrame:
     """G4 greedy packing per group: sentences in ``order``; a new chunk starts
     when adding the next sentence would exceed ``max_tokens``; an oversize
     sentence stands alone. Tokens are whitespace words.
 
     The greedy rule depends on the whole prefix of the group, so each group
     is folded as one ordered array (``aggregate`` over token counts, JVM
-    side). Returns ``(group, chunk, n_sentences, n_tokens, text)``."""
+    side). Returns the sentences with their ``chunk``: ``(group, chunk, order, ntok, text)``."""
     s = sentences.select(group, order, text, tx.word_count(text).alias("ntok"))
     g = s.groupBy(group).agg(F.array_sort(F.collect_list(F.struct(order, "ntok", text))).alias("xs"))
     init = F.struct(F.lit(-1).cast("long").alias("chunk"), F.lit(0).cast("long").alias("used"),
@@ -107,8 +107,13 @@ def token_pack(sentences: DataFrame, group: str, order: str, text: str, max_toke
 
     folded = g.select(group, "xs", F.aggregate("xs", init, step)["ids"].alias("ids"))
     rows = folded.select(group, F.inline(F.arrays_zip(F.col("xs").alias("x"), F.col("ids").alias("chunk"))))
-    rows = rows.select(group, F.col("chunk"), F.col("x")[order].alias(order),
+    return rows.select(group, F.col("chunk"), F.col("x")[order].alias(order),
                        F.col("x")["ntok"].alias("ntok"), F.col("x")[text].alias(text))
+
+
+def token_pack(sentences: DataFrame, group: str, order: str, text: str, max_tokens: int) -> DataFrame:
+    """G4 packs as texts: ``(group, chunk, n_sentences, n_tokens, text)``."""
+    rows = pack_assign(sentences, group, order, text, max_tokens)
     return (rows.groupBy(group, "chunk")
             .agg(F.count(F.lit(1)).alias("n_sentences"), F.sum("ntok").alias("n_tokens"),
                  F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))),

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import text as tx
 from loomgraph.operators import tfidf as tv
-from loomgraph.operators.chunks import length_budget
+from loomgraph.operators.chunks import length_budget, pack_assign
 
 # Fixed value: text used when a group yields nothing to condense.
 NO_SUMMARY = "[No summary generated]"
@@ -94,3 +94,19 @@ def community_summaries(central: DataFrame, labels: DataFrame, node: str = "id",
             .select(community,
                     F.when(F.coalesce(F.trim(F.col("summary")), F.lit("")) == F.lit(""), F.lit(NO_SUMMARY))
                     .otherwise(F.col("summary")).alias("summary")))
+
+
+def flat_reduce(sentences: DataFrame, group: str, order: str, text: str = "sentence",
+                pack_tokens: int = 500, out_tokens: int = 256) -> DataFrame:
+    """M5: the group's sentences packed greedily at ``pack_tokens`` (G4),
+    each pack condensed to ``out_tokens`` words (M1 scoring and budget), the
+    pack summaries joined in pack order: ``(group, summary, n_packs)``.
+    ``sentences`` carries ``score`` (see :func:`sentence_scores`)."""
+    packed = pack_assign(sentences, group, order, text, pack_tokens)
+    packed = packed.join(sentences.select(group, order, "score"), [group, order])
+    per_pack = budget_select(packed, [group, "chunk"], [F.col("score").desc(), F.col(order).asc()],
+                             F.lit(out_tokens), order, text)
+    return per_pack.groupBy(group).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "summary"))),
+                                 lambda x: x["summary"]), " ").alias("summary"),
+        F.count(F.lit(1)).alias("n_packs"))

@@ -136,3 +136,49 @@ def q_top_fraction_docs(spark, sf_dir):
 @register("community_summary", sql=COMMUNITY_SQL + "\nSELECT community, summary FROM csum")
 def q_community_summary(spark, sf_dir):
     return community_summaries(spark, sf_dir)
+
+
+FLAT_PACK = 500
+FLAT_OUT = 256
+
+
+@register("flat_reduce", sql="WITH RECURSIVE " + CHUNKS_SQL[len("WITH "):] + f""",
+{NODES_BODY},
+nsent AS (SELECT count(*) AS n FROM sents),
+stoks AS (SELECT DISTINCT doc_id, pos, term FROM
+          (SELECT doc_id, pos, unnest(regexp_extract_all(lower(sentence), {S.q(tv.TERM)})) AS term FROM sents)),
+stoks_all AS (SELECT doc_id, pos, unnest(regexp_extract_all(lower(sentence), {S.q(tv.TERM)})) AS term FROM sents),
+sidf AS (SELECT term, ln((n + 1.0) / (count(*) + 1.0)) AS idf FROM stoks, nsent GROUP BY term, n),
+sc AS (SELECT doc_id, pos, round(avg(idf), 9) AS score FROM stoks_all JOIN sidf USING (term) GROUP BY doc_id, pos),
+cs AS (SELECT n.community, s.doc_id, s.pos, s.sentence, {S.word_count('s.sentence')} AS ntok,
+              coalesce(sc.score, 0.0) AS score,
+              row_number() OVER (PARTITION BY n.community ORDER BY s.doc_id, s.pos) AS rn
+       FROM sents s JOIN nodes n ON n.id = s.doc_id LEFT JOIN sc ON sc.doc_id = s.doc_id AND sc.pos = s.pos),
+pk AS (
+  SELECT community, rn, CAST(0 AS BIGINT) AS chunk, ntok AS used FROM cs WHERE rn = 1
+  UNION ALL
+  SELECT cs.community, cs.rn,
+         CASE WHEN pk.used + cs.ntok > {FLAT_PACK} AND pk.used > 0 THEN pk.chunk + 1 ELSE pk.chunk END,
+         CASE WHEN pk.used + cs.ntok > {FLAT_PACK} AND pk.used > 0 THEN cs.ntok ELSE pk.used + cs.ntok END
+  FROM pk JOIN cs ON cs.community = pk.community AND cs.rn = pk.rn + 1),
+prow AS (SELECT cs.*, pk.chunk FROM cs JOIN pk ON pk.community = cs.community AND pk.rn = cs.rn),
+prk AS (SELECT *, row_number() OVER (PARTITION BY community, chunk ORDER BY score DESC, doc_id, pos) AS rk,
+               sum(ntok) OVER (PARTITION BY community, chunk ORDER BY score DESC, doc_id, pos
+                               ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM prow),
+psum AS (SELECT community, chunk, string_agg(sentence, ' ' ORDER BY doc_id, pos) AS summary
+         FROM prk WHERE rk = 1 OR run <= {FLAT_OUT} GROUP BY community, chunk)
+SELECT community, string_agg(summary, ' ' ORDER BY chunk) AS summary, count(*) AS n_packs
+FROM psum GROUP BY community""")
+def q_flat_reduce(spark, sf_dir):
+    """M5 per community (``source``) over the member documents' sentences."""
+    s = q_chunk_sentences(spark, sf_dir)
+    scored = cd.sentence_scores(s, ["doc_id", "pos"])
+    nodes = doc_nodes(spark, sf_dir).select(F.col("id").alias("doc_id"), "community")
+    rows = scored.join(nodes, "doc_id").withColumn("o", F.struct("doc_id", "pos"))
+    return cd.flat_reduce(rows.select("community", "o", "sentence", "score"), "community", "o",
+                          "sentence", FLAT_PACK, FLAT_OUT)
+
+
+def q_chunk_sentences(spark, sf_dir):
+    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    return st.corpus_sentences(d).checkpoint()

@@ -94,3 +94,50 @@ def q_l2_normalize(spark, sf_dir):
     return u.select("vec_id", F.round(l2_norm("u"), 6).alias("norm"),
                     F.round(F.element_at("u", 1), 6).alias("first_value"),
                     F.round(sum_array("u"), 6).alias("value_sum"))
+
+
+def _edge_vectors(spark, sf_dir):
+    e = read_table(spark, sf_dir, "embeddings")
+    a = e.select(F.col("vec_id").alias("src"), F.col("embedding").alias("va"))
+    b = e.select(F.col("vec_id").alias("dst"), F.col("embedding").alias("vb"))
+    return knn(spark, sf_dir).select("src", "dst").join(a, "src").join(b, "dst")
+
+
+SQL_EDGE_VECS = SQL_KNN + f""",
+ev AS (SELECT r.src, r.dst, CAST(a.embedding AS DOUBLE[]) AS va, CAST(b.embedding AS DOUBLE[]) AS vb
+       FROM ranked r JOIN embeddings a ON a.vec_id = r.src JOIN embeddings b ON b.vec_id = r.dst
+       WHERE r.rnk <= {K_GRAPH})"""
+
+
+@register("cosine_pairs", sql=SQL_EDGE_VECS + """,
+n AS (SELECT src, dst, list_dot_product(va, vb) AS d,
+             sqrt(list_sum(list_transform(va, lambda x: x * x))) AS na,
+             sqrt(list_sum(list_transform(vb, lambda x: x * x))) AS nb FROM ev)
+SELECT src, dst, round(CASE WHEN na > 0 AND nb > 0 THEN d / (na * nb) ELSE 0.0 END, 6) AS cos FROM n""")
+def q_cosine_pairs(spark, sf_dir):
+    """P14 on the raw vectors of every kNN edge (the column expression
+    against the BLAS tiles)."""
+    from loomgraph.functions.vectors import cosine
+    return _edge_vectors(spark, sf_dir).select("src", "dst", F.round(cosine("va", "vb"), 6).alias("cos"))
+
+
+@register("l2_pairs", sql=SQL_EDGE_VECS + """
+SELECT src, dst, round(list_sum(list_transform(list_zip(va, vb), lambda x: (x[1] - x[2]) * (x[1] - x[2]))), 6)
+       AS sq_dist FROM ev""")
+def q_l2_pairs(spark, sf_dir):
+    """Squared L2 distance of every kNN edge's raw vectors."""
+    from loomgraph.functions.vectors import squared_l2
+    return _edge_vectors(spark, sf_dir).select("src", "dst", F.round(squared_l2("va", "vb"), 6).alias("sq_dist"))
+
+
+@register("align_check", sql=f"""
+WITH {SQL_UNIT}
+SELECT e.vec_id, CAST(e.label AS BIGINT) AS label, round(sqrt(list_sum(list_transform(u.u, lambda x: x * x))), 6) AS norm
+FROM embeddings e JOIN unit u ON u.id = e.vec_id""")
+def q_align_check(spark, sf_dir):
+    """Vectors and their rows aligned 1:1 by key; any row without a
+    partner on either side raises instead of being dropped."""
+    e = read_table(spark, sf_dir, "embeddings")
+    u = e.select("vec_id", l2_normalize("embedding").alias("u"))
+    j = simjoin.align_by_key(e.select("vec_id", F.col("label").cast("long").alias("label")), u, "vec_id")
+    return j.select("vec_id", "label", F.round(l2_norm("u"), 6).alias("norm"))
