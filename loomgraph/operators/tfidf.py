@@ -22,6 +22,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgraph.session import materialize
+
 # Fixed value: a term is a maximal run of letters and digits of the lower-cased text.
 TERM = r"[\p{L}\p{N}]+"
 
@@ -48,13 +50,17 @@ class SparseSpace:
 
 def tfidf(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           max_df: int = 20) -> SparseSpace:
-    """TF-IDF vectors of ``text_col`` keyed by ``id_col``."""
+    """TF-IDF vectors of ``text_col`` keyed by ``id_col``.
+    The postings, vocabulary and vectors are each written once as tables in
+    the checkpoint folder (the vectors feed self joins and later stages, so
+    the text pipeline is not re-run for every use)."""
+    tf = materialize(term_frequencies(df, id_col, text_col), "postings")
     n_docs = df.count()
-    tf = term_frequencies(df, id_col, text_col)
     vocab = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
              .where(F.col("df") <= F.lit(max_df))
              .withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))))
-    return SparseSpace(weigh(tf, vocab), vocab, n_docs)
+    vocab = materialize(vocab, "vocabulary")
+    return SparseSpace(materialize(weigh(tf, vocab), "tfidf"), vocab, n_docs)
 
 
 def weigh(tf: DataFrame, vocab: DataFrame) -> DataFrame:

@@ -141,3 +141,11 @@ def q_align_check(spark, sf_dir):
     u = e.select("vec_id", l2_normalize("embedding").alias("u"))
     j = simjoin.align_by_key(e.select("vec_id", F.col("label").cast("long").alias("label")), u, "vec_id")
     return j.select("vec_id", "label", F.round(l2_norm("u"), 6).alias("norm"))
+
+
+@register("knn_lsh")
+def q_knn_lsh(spark, sf_dir):
+    """Approximate top-k by random-hyperplane LSH with tiled buckets
+    (rows-only oracle; recall against the exact join is tested)."""
+    from loomgraph.operators.lsh import knn_lsh
+    return knn_lsh(read_table(spark, sf_dir, "embeddings"), K_GRAPH)

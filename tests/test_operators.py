@@ -111,3 +111,12 @@ def test_louvain_two_triangles(spark):
     e = spark.createDataFrame(TRIANGLES, "src long, dst long, weight double")
     got = {r["id"]: r["community"] for r in louvain(e).collect()}
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4}
+
+
+def test_lsh_recall(spark):
+    from loomgraph.operators import lsh
+    from loomgraph.sources.tables import read_table
+    e = read_table(spark, "/root/testdata/sf0.01", "embeddings")
+    exact = simjoin.knn_edges(e, 5)
+    approx = lsh.knn_lsh(e, 5)
+    assert lsh.recall(approx, exact) >= 0.9
