@@ -110,3 +110,38 @@ def flat_reduce(sentences: DataFrame, group: str, order: str, text: str = "sente
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "summary"))),
                                  lambda x: x["summary"]), " ").alias("summary"),
         F.count(F.lit(1)).alias("n_packs"))
+
+
+def tree_reduce(sentences: DataFrame, group: str, order: str, text: str = "sentence",
+                pack_tokens: int = 450, max_rounds: int = 8) -> DataFrame:
+    """M4: repeated pack (G4 at ``pack_tokens``) -> condense each pack to the
+    P11 target of the group (``max(60, int(0.7 * total))``, total taken once
+    at the start, as in the reference) until a group is one text, no group
+    shrinks any more (D10) or ``max_rounds`` is reached. Each round is
+    written as a table (lineage cut). ``sentences`` carries ``score``.
+    Returns ``(group, summary, rounds)``."""
+    from loomgraph.operators.chunks import reduction_target
+    from loomgraph.session import materialize
+    totals = (sentences.groupBy(group).agg(F.sum(tx.word_count(text)).alias("total"))
+              .select(group, reduction_target("total").alias("target")))
+    cur = materialize(sentences.select(group, F.col(order).alias("o"), F.col(text).alias("t"), "score")
+                      .withColumn("round", F.lit(0)), "tree")
+    n_rows = cur.count()
+    for rnd in range(1, max_rounds + 1):
+        packs = pack_assign(cur, group, "o", "t", pack_tokens).join(cur.select(group, "o", "score"), [group, "o"])
+        packs = packs.join(totals, group)
+        condensed = budget_select(packs, [group, "chunk"], [F.col("score").desc(), F.col("o").asc()],
+                                  F.col("target"), "o", "t")
+        scores = packs.groupBy(group, "chunk").agg(F.avg("score").alias("score"))
+        nxt = materialize(condensed.join(scores, [group, "chunk"])
+                          .select(group, F.col("chunk").alias("o"), F.col("summary").alias("t"), "score",
+                                  F.lit(rnd).alias("round")), "tree")
+        n_next = nxt.count()
+        cur = nxt
+        if n_next == n_rows or nxt.groupBy(group).count().where(F.col("count") > 1).limit(1).count() == 0:
+            break
+        n_rows = n_next
+    return cur.groupBy(group).agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o", "t"))), lambda x: x["t"]),
+                     " ").alias("summary"),
+        F.max("round").alias("rounds"))

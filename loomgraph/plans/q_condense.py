@@ -182,3 +182,14 @@ def q_flat_reduce(spark, sf_dir):
 def q_chunk_sentences(spark, sf_dir):
     d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
     return st.corpus_sentences(d).checkpoint()
+
+
+@register("tree_reduce")
+def q_tree_reduce(spark, sf_dir):
+    """M4 per community (``source``): pack at 450 tokens, condense, repeat
+    (rows-only oracle; rounds are bounded)."""
+    s = q_chunk_sentences(spark, sf_dir)
+    scored = cd.sentence_scores(s, ["doc_id", "pos"])
+    nodes = doc_nodes(spark, sf_dir).select(F.col("id").alias("doc_id"), "community")
+    rows = scored.join(nodes, "doc_id").withColumn("o", F.struct("doc_id", "pos"))
+    return cd.tree_reduce(rows.select("community", "o", "sentence", "score"), "community", "o", "sentence")
