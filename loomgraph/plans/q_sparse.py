@@ -19,8 +19,16 @@ def good_docs(spark, sf_dir):
     return st.good_documents(d)
 
 
+_SPACES: dict = {}
+
+
 def doc_space(spark, sf_dir):
-    return tv.tfidf(good_docs(spark, sf_dir), "doc_id", "text", MAX_DF)
+    """The document TF-IDF space, built once per session and input folder
+    (its tables are written once; graph, index and queries share them)."""
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
+    if key not in _SPACES:
+        _SPACES[key] = tv.tfidf(good_docs(spark, sf_dir), "doc_id", "text", MAX_DF)
+    return _SPACES[key]
 
 
 def sql_space(corpus_cte: str, id_col: str = "doc_id") -> str:
