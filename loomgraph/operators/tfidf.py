@@ -51,11 +51,13 @@ class SparseSpace:
 def tfidf(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           max_df: int = 20) -> SparseSpace:
     """TF-IDF vectors of ``text_col`` keyed by ``id_col``.
-    The postings, vocabulary and vectors are each written once as tables in
-    the checkpoint folder (the vectors feed self joins and later stages, so
-    the text pipeline is not re-run for every use)."""
-    tf = materialize(term_frequencies(df, id_col, text_col), "postings")
-    n_docs = df.count()
+    The input texts, postings, vocabulary and vectors are each written once
+    as tables in the checkpoint folder: the document count, the postings and
+    the self joins then read tables instead of re-running the text cleaning
+    for every use."""
+    docs = materialize(df.select(id_col, text_col), "corpus")
+    n_docs = docs.count()
+    tf = materialize(term_frequencies(docs, id_col, text_col), "postings")
     vocab = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
              .where(F.col("df") <= F.lit(max_df))
              .withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))))

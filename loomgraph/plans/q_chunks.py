@@ -8,6 +8,7 @@ from loomgraph.functions import text as tx
 from loomgraph.operators import chunks as ch
 from loomgraph.operators import sentences as st
 from loomgraph.plans import sql_text as S
+from loomgraph.plans import stages
 from loomgraph.plans.registry import register
 from loomgraph.sources.tables import read_table, spread
 
@@ -18,8 +19,7 @@ SENTS_SQL = f"WITH {S.clean_docs_cte()}, {S.sentences_cte()}"
 
 
 def sentences(spark, sf_dir):
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return st.corpus_sentences(d)
+    return stages.sentences(spark, sf_dir)
 
 
 def doc_chunks(spark, sf_dir):

@@ -14,6 +14,7 @@ from loomgraph.operators import simjoin
 from loomgraph.operators import tfidf as tv
 from loomgraph.plans import q_sparse
 from loomgraph.plans import sql_text as S
+from loomgraph.plans import stages
 from loomgraph.plans.q_chunks import CHUNK_SIZE, CHUNKS_SQL
 from loomgraph.plans.registry import register
 from loomgraph.sources.tables import read_table, spread
@@ -22,12 +23,11 @@ SUMMARY_BUDGET = 256
 
 
 def chunked_sentences(spark, sf_dir):
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return ch.assign_chunks(st.corpus_sentences(d), CHUNK_SIZE)
+    return ch.assign_chunks(stages.sentences(spark, sf_dir), CHUNK_SIZE)
 
 
 def extractive(spark, sf_dir):
-    s = chunked_sentences(spark, sf_dir).checkpoint()
+    s = chunked_sentences(spark, sf_dir)
     return cd.extractive_chunks(s, ch.chunk_texts(s))
 
 
@@ -65,9 +65,8 @@ def q_extractive_chunks(spark, sf_dir):
 def doc_nodes(spark, sf_dir):
     """Good documents as graph nodes: ``(id, community, text)`` with the P5
     node text and ``source`` as the community."""
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"), "doc_id")
-    good = st.good_documents(d.select("doc_id", "text"))
-    src = d.select("doc_id", "source")
+    good = stages.good_docs(spark, sf_dir)
+    src = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return good.join(src, "doc_id").select(F.col("doc_id").alias("id"), F.col("source").alias("community"),
                                            tx.node_text("text").alias("text"))
 
@@ -180,8 +179,7 @@ def q_flat_reduce(spark, sf_dir):
 
 
 def q_chunk_sentences(spark, sf_dir):
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return st.corpus_sentences(d).checkpoint()
+    return stages.sentences(spark, sf_dir)
 
 
 @register("tree_reduce")

@@ -13,6 +13,7 @@ from loomgraph.operators import tfidf as tv
 from loomgraph.operators import trainprep as tp
 from loomgraph.plans import q_condense, q_sparse
 from loomgraph.plans import sql_text as S
+from loomgraph.plans import stages
 from loomgraph.plans.registry import register
 from loomgraph.sources.tables import read_table, spread
 
@@ -61,7 +62,7 @@ CHUNK_KEY = ["doc_id", "chunk"]
 
 
 def chunk_pairs(spark, sf_dir):
-    s = q_condense.chunked_sentences(spark, sf_dir).checkpoint()
+    s = q_condense.chunked_sentences(spark, sf_dir)
     from loomgraph.operators import chunks as ch
     from loomgraph.operators import condense as cd
     chunks = ch.chunk_texts(s)
@@ -222,8 +223,7 @@ def q_answer(spark, sf_dir):
     _, _, qv, rr, _ = contexts(spark, sf_dir)
     nodes = q_condense.doc_nodes(spark, sf_dir)
     members = nodes.select(F.col("community").alias("id"), F.col("id").alias("doc_id"))
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    sents = st.corpus_sentences(d)
+    sents = stages.sentences(spark, sf_dir)
     return rt.answer(qv, rr, members, sents, ANSWER_BUDGET)
 
 

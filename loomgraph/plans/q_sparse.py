@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from loomgraph.operators import sentences as st
 from loomgraph.operators import tfidf as tv
 from loomgraph.plans import sql_text as S
+from loomgraph.plans import stages
 from loomgraph.plans.registry import register
 from loomgraph.sources.tables import read_table, spread
 
@@ -15,20 +16,14 @@ K = 5
 
 
 def good_docs(spark, sf_dir):
-    d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
-    return st.good_documents(d)
-
-
-_SPACES: dict = {}
+    return stages.good_docs(spark, sf_dir)
 
 
 def doc_space(spark, sf_dir):
-    """The document TF-IDF space, built once per session and input folder
-    (its tables are written once; graph, index and queries share them)."""
-    key = (id(spark), spark.sparkContext.applicationId, sf_dir)
-    if key not in _SPACES:
-        _SPACES[key] = tv.tfidf(good_docs(spark, sf_dir), "doc_id", "text", MAX_DF)
-    return _SPACES[key]
+    """The document TF-IDF space, built once per query (its tables are
+    written once; graph, index and queries share them)."""
+    return stages.cached("doc_space", spark, sf_dir,
+                         lambda: tv.tfidf(good_docs(spark, sf_dir), "doc_id", "text", MAX_DF))
 
 
 def sql_space(corpus_cte: str, id_col: str = "doc_id") -> str:

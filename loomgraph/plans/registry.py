@@ -21,7 +21,13 @@ def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            from loomgraph.plans import stages
+            stages.clear()
+            return fn(spark, sf_dir)
+        run.__name__, run.__doc__ = fn.__name__, fn.__doc__
+        QUERIES[name] = run
         if sql is not None:
             ORACLE[name] = sql.strip()
         return fn
