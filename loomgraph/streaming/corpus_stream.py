@@ -13,10 +13,13 @@ from loomgraph.operators import sentences as st
 from loomgraph.sources.tables import SCHEMAS
 
 
-def read_documents_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1) -> DataFrame:
-    """Streaming scan of parquet document files (declared schema)."""
+def read_documents_stream(spark: SparkSession, folder: str, max_files_per_trigger: int = 1,
+                          file_glob: str = "documents*.parquet") -> DataFrame:
+    """Streaming scan of the parquet document files of ``folder`` whose
+    names match ``file_glob`` (declared schema)."""
     return (spark.readStream.schema(SCHEMAS["documents"])
-            .option("maxFilesPerTrigger", max_files_per_trigger).parquet(folder))
+            .option("maxFilesPerTrigger", max_files_per_trigger)
+            .option("pathGlobFilter", file_glob).parquet(folder))
 
 
 def stream_sentences(docs: DataFrame) -> DataFrame:
