@@ -49,13 +49,15 @@ class SparseSpace:
 
 
 def tfidf(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          max_df: int = 20) -> SparseSpace:
+          max_df: int = 20, input_is_table: bool = False) -> SparseSpace:
     """TF-IDF vectors of ``text_col`` keyed by ``id_col``.
     The input texts, postings, vocabulary and vectors are each written once
     as tables in the checkpoint folder: the document count, the postings and
     the self joins then read tables instead of re-running the text cleaning
     for every use."""
-    docs = materialize(df.select(id_col, text_col), "corpus")
+    docs = df.select(id_col, text_col)
+    if not input_is_table:  # a computed input is written once, then read twice
+        docs = materialize(docs, "corpus")
     n_docs = docs.count()
     tf = materialize(term_frequencies(docs, id_col, text_col), "postings")
     vocab = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))

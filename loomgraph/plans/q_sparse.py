@@ -23,7 +23,8 @@ def doc_space(spark, sf_dir):
     """The document TF-IDF space, built once per query (its tables are
     written once; graph, index and queries share them)."""
     return stages.cached("doc_space", spark, sf_dir,
-                         lambda: tv.tfidf(good_docs(spark, sf_dir), "doc_id", "text", MAX_DF))
+                         lambda: tv.tfidf(good_docs(spark, sf_dir), "doc_id", "text", MAX_DF,
+                                          input_is_table=True))
 
 
 def sql_space(corpus_cte: str, id_col: str = "doc_id") -> str:
