@@ -18,9 +18,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Python's whitespace characters (str.isspace), as a regex
-# character-class body for Java (Spark) and for RE2 (DuckDB).
-WS = r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000"
+# Python's whitespace characters (str.isspace) are
+#   \t \n \x0B \f \r \x1C-\x1F space \x85 \xA0 \u1680 \u2000-\u200A \u2028 \u2029
+#   \u202F \u205F \u3000
+# In Java this is Character.isWhitespace plus the four code points it leaves
+# out (checked equal on every code point); the short union scans about twice
+# as fast as the listed class. RE2 (DuckDB) gets the list itself.
+WS = r"\p{javaWhitespace}\x85\xA0\u2007\u202F"
 WS_RE2 = r"\t\n\v\f\r\x1c-\x1f \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 # Python's word characters and letters as class bodies.
 WORD = r"\p{L}\p{N}_"
@@ -62,8 +66,15 @@ def clean_text(t) -> Column:
 
 
 def word_count(t) -> Column:
-    """Number of whitespace-separated words (Python ``len(t.split())``)."""
-    return F.regexp_count(_c(t), F.lit(f"[^{WS}]+")).cast("long")
+    """Number of whitespace-separated words (Python ``len(t.split())``).
+
+    Whitespace runs collapse to one space (after which ``trim`` equals
+    Python's strip), and the words are the spaces plus one. Scanning with
+    the positive whitespace class is several times faster in Java than
+    matching runs of the negated class, and no array of words is built."""
+    one = F.trim(collapse_ws(t))
+    spaces = F.length(one) - F.length(F.replace(one, F.lit(" "), F.lit("")))
+    return F.when(one == F.lit(""), F.lit(0)).otherwise(spaces + 1).cast("long")
 
 
 def letter_count(t) -> Column:
