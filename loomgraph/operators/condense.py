@@ -35,15 +35,22 @@ def sentence_scores(sentences: DataFrame, key: list[str], text: str = "sentence"
 
 
 def budget_select(rows: DataFrame, group: list[str], rank_cols: list, budget, order: str,
-                  text: str) -> DataFrame:
+                  text: str, max_budget: int) -> DataFrame:
     """Keep rows by rank while the running word count is within ``budget``
     (the first-ranked row is always kept), then join the kept texts in
-    ``order``: ``(*group, summary, n_kept)`` (W3)."""
+    ``order``: ``(*group, summary, n_kept)`` (W3).
+
+    Rows without words are skipped (they add nothing). Every other row has
+    at least one word, so no more than ``max_budget + 1`` rows can be kept
+    (``max_budget`` bounds ``budget``): ranks beyond that are cut first with
+    a ``row_number`` filter, which Spark runs as a partial top-k on each map
+    task before the shuffle, so even a huge group reaches one task as a few
+    hundred rows."""
     w = Window.partitionBy(*group).orderBy(*rank_cols)
-    run = F.sum("nw").over(w.rowsBetween(Window.unboundedPreceding, 0))
-    r = (rows.withColumn("nw", tx.word_count(text))
+    r = (rows.withColumn("nw", tx.word_count(text)).where(F.col("nw") > 0)
          .withColumn("rk", F.row_number().over(w))
-         .withColumn("run", run))
+         .where(F.col("rk") <= F.lit(max_budget + 1)))
+    r = r.withColumn("run", F.sum("nw").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     kept = r.where((F.col("rk") == 1) | (F.col("run") <= budget))
     return kept.groupBy(*group).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]),
@@ -62,7 +69,7 @@ def extractive_chunks(sentences: DataFrame, chunks: DataFrame, min_words: int =
     budgets = budgets.select("doc_id", "chunk", "n_tokens", max_len)
     rows = scored.join(budgets, ["doc_id", "chunk"])
     picked = budget_select(rows, ["doc_id", "chunk"], [F.col("score").desc(), F.col("pos").asc()],
-                           F.col("max_len"), "pos", "sentence")
+                           F.col("max_len"), "pos", "sentence", max_budget=512)
     out = budgets.join(picked, ["doc_id", "chunk"], "left")
     return out.select("doc_id", "chunk", "n_tokens",
                       F.when(F.col("n_tokens") < F.lit(min_words), F.lit(""))
@@ -88,7 +95,8 @@ def community_summaries(central: DataFrame, labels: DataFrame, node: str = "id",
     order while the running word count fits ``budget`` and joined in rank
     order; a community with no kept member gets the fallback text (P8)."""
     nb = central.where(tx.non_blank(text))
-    picked = budget_select(nb, [community], [F.col("rank").asc()], F.lit(budget), "rank", text)
+    picked = budget_select(nb, [community], [F.col("rank").asc()], F.lit(budget), "rank", text,
+                           max_budget=budget)
     comms = labels.select(community).distinct()
     return (comms.join(picked, community, "left")
             .select(community,
@@ -105,7 +113,7 @@ def flat_reduce(sentences: DataFrame, group: str, order: str, text: str = "sente
     packed = pack_assign(sentences, group, order, text, pack_tokens)
     packed = packed.join(sentences.select(group, order, "score"), [group, order])
     per_pack = budget_select(packed, [group, "chunk"], [F.col("score").desc(), F.col(order).asc()],
-                             F.lit(out_tokens), order, text)
+                             F.lit(out_tokens), order, text, max_budget=out_tokens)
     return per_pack.groupBy(group).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("chunk", "summary"))),
                                  lambda x: x["summary"]), " ").alias("summary"),
@@ -130,8 +138,9 @@ def tree_reduce(sentences: DataFrame, group: str, order: str, text: str = "sente
     for rnd in range(1, max_rounds + 1):
         packs = pack_assign(cur, group, "o", "t", pack_tokens).join(cur.select(group, "o", "score"), [group, "o"])
         packs = packs.join(totals, group)
+        # a pack holds at most pack_tokens words, so that bounds its budget
         condensed = budget_select(packs, [group, "chunk"], [F.col("score").desc(), F.col("o").asc()],
-                                  F.col("target"), "o", "t")
+                                  F.col("target"), "o", "t", max_budget=pack_tokens)
         scores = packs.groupBy(group, "chunk").agg(F.avg("score").alias("score"))
         nxt = materialize(condensed.join(scores, [group, "chunk"])
                           .select(group, F.col("chunk").alias("o"), F.col("summary").alias("t"), "score",
