@@ -120,3 +120,20 @@ def test_lsh_recall(spark):
     exact = simjoin.knn_edges(e, 5)
     approx = lsh.knn_lsh(e, 5)
     assert lsh.recall(approx, exact) >= 0.9
+
+
+def test_ordinals_with_many_buckets(spark):
+    """Bucket offsets (per group) and partition offsets (global) against a
+    plain row_number, with buckets small enough that every group spans many."""
+    from pyspark.sql import Window
+    rows = [(g, p) for g in range(5) for p in range(0, 97, 3)]
+    df = spark.createDataFrame(rows, "g long, p long")
+    got = ch.ordinal_in_group(df, "g", "p", bucket=4)
+    exp = df.withColumn("e", F.row_number().over(Window.partitionBy("g").orderBy("p")) - 1)
+    assert got.join(exp, ["g", "p"]).where("ordinal != e").count() == 0
+    assert got.count() == len(rows)
+    glob = ch.global_ordinal(df, ["g", "p"])
+    ords = sorted(r["ordinal"] for r in glob.collect())
+    assert ords == list(range(len(rows)))
+    first = glob.where("g = 1 AND p = 0").first()["ordinal"]
+    assert first == len([r for r in rows if r[0] == 0])
