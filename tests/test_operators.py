@@ -137,3 +137,11 @@ def test_ordinals_with_many_buckets(spark):
     assert ords == list(range(len(rows)))
     first = glob.where("g = 1 AND p = 0").first()["ordinal"]
     assert first == len([r for r in rows if r[0] == 0])
+
+
+@pytest.mark.parametrize("n,percent,expected", [(10, 5, 0), (30, 5, 2), (50, 5, 2), (1000, 5, 50)])
+def test_head_percent_rounds_half_to_even(spark, n, percent, expected):
+    from loomgraph.operators import trainprep as tp
+    df = spark.range(n).withColumnRenamed("id", "k")
+    got = [r["k"] for r in tp.head_percent(df, "k", percent).collect()]
+    assert got == list(range(expected))
