@@ -1,32 +1,33 @@
 """Stopword lists.
 
-The default English list is the one Spark ships for ``StopWordsRemover``;
-it is read from the Spark ML jar so the Spark query and the SQL oracle use
-the very same words without a running session. A user list comes from a
-text file, one word per line, stripped, as a set.
+The default English list is stated here as plain text, so importing the
+package touches no file and needs no session; a test compares it with the
+list the engine itself ships. A user list comes from a text file, one word
+per line, stripped, as a set.
 """
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-from functools import lru_cache
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-
-@lru_cache(maxsize=None)
-def default_stopwords(language: str = "english") -> tuple[str, ...]:
-    import pyspark
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    with zipfile.ZipFile(jars[0]) as z:
-        raw = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-    return tuple(w.strip() for w in raw.splitlines() if w.strip())
-
-
-ENGLISH_STOPWORDS: tuple[str, ...] = default_stopwords("english")
+# The default English stopword list of Spark's StopWordsRemover.
+ENGLISH_STOPWORDS: tuple[str, ...] = tuple("""
+i me my myself we our ours ourselves you your yours yourself yourselves
+he him his himself she her hers herself it its itself they them their
+theirs themselves what which who whom this that these those am is are was
+were be been being have has had having do does did doing a an the and but
+if or because as until while of at by for with about against between into
+through during before after above below to from up down in out on off over
+under again further then once here there when where why how all any both
+each few more most other some such no nor not only own same so than too
+very s t can will just don should now i'll you'll he'll she'll we'll
+they'll i'd you'd he'd she'd we'd they'd i'm you're he's she's it's we're
+they're i've we've you've they've isn't aren't wasn't weren't haven't
+hasn't hadn't don't doesn't didn't won't wouldn't shan't shouldn't mustn't
+can't couldn't cannot could here's how's let's ought that's there's what's
+when's where's who's why's would
+""".split())
 
 
 def load_stopwords(spark: SparkSession, path: str | None = None) -> DataFrame:

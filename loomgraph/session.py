@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -41,9 +42,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the reliable checkpoint directory, reading it from the session.
 
     ``spark.checkpoint.dir`` names a shared folder on a cluster; it is used
-    as is. Only a local-mode session without one gets a fresh scratch folder
-    (tests and single-machine runs). A cluster session without the setting is
-    an error: a machine-local folder would not survive executor loss.
+    as is. Where it is unset, a single-JVM session (``local`` or
+    ``local[n]``, as in tests) gets a fresh scratch folder; any session with
+    executors of its own raises, because a machine-local folder would not
+    survive the loss of an executor.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,19 +53,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-        return sc.getCheckpointDir()
-    if sc.master.startswith("local"):
-        path = tempfile.mkdtemp(prefix="loomgraph-ckpt-", dir="/tmp")
-        sc.setCheckpointDir(path)
-        return sc.getCheckpointDir()
-    raise RuntimeError(
-        "spark.checkpoint.dir is not set: iterative operators need a shared "
-        "checkpoint folder on a cluster")
-
-
-def materialize(df, name: str = "t"):
+    if not configured:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: operators that cut lineage need a "
+                "shared checkpoint folder on a cluster")
+        configured = tempfile.mkdtemp(prefix="loomgraph-ckpt-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
+
+
+def materialize(df, name: str = "t", codec: str | None = None):
     """Write ``df`` as parquet under the checkpoint folder and read it back.
 
     Used instead of ``DataFrame.checkpoint()`` in iterative jobs: a
@@ -71,11 +71,30 @@ def materialize(df, name: str = "t"):
     of joins those estimates compound round after round (a size estimate
     with millions of digits after a dozen rounds makes planning itself the
     bottleneck). A re-read table has fresh statistics and no lineage, and it
-    lives in the shared checkpoint folder, so lost executors re-read it.
+    lives in the shared checkpoint folder, so lost executors re-read it. The
+    table is deleted when the driver's JVM ends; :func:`release` drops it
+    earlier.
     """
-    import uuid
     spark = df.sparkSession
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/loomgraph-tables/{name}-{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    writer = df.write.mode("overwrite")
+    if codec:
+        writer = writer.option("compression", codec)
+    writer.parquet(path)
+    p, fs = _hadoop_path(spark, path)
+    fs.deleteOnExit(p)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._loomgraph_path = path
+    return out
+
+
+def release(table) -> None:
+    """Delete a table of :func:`materialize` that no later plan reads."""
+    p, fs = _hadoop_path(table.sparkSession, table._loomgraph_path)
+    fs.delete(p, True)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
