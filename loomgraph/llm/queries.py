@@ -53,3 +53,41 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomgraph.llm.sharding import byte_shards
     return byte_shards(table(spark, sf_dir, "documents"))
+
+
+def fold(n: int):
+    """Hash fold of a document: crc32 of the decimal id, modulo ``n``."""
+    from pyspark.sql import functions as F
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % n
+
+
+@query("op5_compression_language")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from loomgraph.llm.language_id import fit, identify
+    docs = table(spark, sf_dir, "documents")
+    out = identify(docs, fit(docs, fold(4) != 2))
+    return out.select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "margin",
+                      F.col("rejected"))
+
+
+@query("op7_crf_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from loomgraph.llm.toxicity import sample, tag, train
+    docs = table(spark, sf_dir, "documents")
+    out = tag(docs, train(*sample(docs, table(spark, sf_dir, "labels"), fold(5) != 0)))
+    return out.select("doc_id", (fold(5) == 0).alias("held_out"), "score",
+                      (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                      F.size("spans").alias("n_spans"))
+
+
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from loomgraph.llm.substring_dedup import substring_dedup
+    out = substring_dedup(table(spark, sf_dir, "documents"), window=20)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
