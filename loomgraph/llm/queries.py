@@ -91,3 +91,9 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomgraph.llm.substring_dedup import substring_dedup
     out = substring_dedup(table(spark, sf_dir, "documents"), window=20)
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op9_ngram_jaccard_join")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from loomgraph.llm.jaccard_join import jaccard_components
+    return jaccard_components(table(spark, sf_dir, "documents"), words=5, percent=75)

@@ -2,19 +2,13 @@
 
 A window is ``window`` consecutive words of one document; words of a window
 whose sequence also starts earlier (smaller id, or earlier in the document)
-are removed. Windows number as many as words, so they are never shuffled as
-rows. Documents sit in blocks (a bucketed table, so later steps meet their
-block without moving text again) and three passes run over the blocks:
-
-1. *Sketch.* Each block counts its windows in a count-min sketch and sends
-   the non-zero cells, cut into ranges of cells, as sorted gaps (about two
-   bytes a window). Sketches of one range are merged; a cell whose merged
-   count is two or more may hold a repeated window. Each block gets back its
-   own such cells. The sketch is kept sparse, where a wider row costs bits
-   only logarithmically, so one row of 32 or more cells a window serves
-   better than several narrow ones: about one window in 32 is estimated
-   repeated without being so, and none is missed.
-2. *Exact count.* Windows in those cells go, once per block, with a 96-bit
+are removed. Three passes run over blocks of documents (see ``blocktable``):
+
+1. *Sketch.* A count-min sketch of all windows, merged over the blocks, tells
+   each block which of its windows may be repeated: with 32 or more cells a
+   window about one window in 32 is estimated repeated without being so, and
+   none is missed.
+2. *Exact count.* Windows estimated repeated go, once per block, with a 96-bit
    fingerprint and the first document that holds them, to the range of their
    fingerprint, where the first holder over all blocks is found.
 3. *Removal.* Each block marks every occurrence but the first holder's first
@@ -27,30 +21,22 @@ of about n**2 / 2**97.
 
 from __future__ import annotations
 
-import uuid
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.llm.blocktable import BLOBS, block_table, blobs, magnitudes, ordered, received, repeated_cells
 from loomgraph.llm.shingles import RUN_BASES, Words, blocks, gaps, packed, ungapped, unpacked
-from loomgraph.session import ensure_checkpoint_dir, materialize
-
-LAST = np.iinfo(np.int64).max  # place of a null id: after all others
+from loomgraph.session import materialize
 
 
 class Block:
     """The documents of one block in order, and their windows' hashes."""
 
     def __init__(self, table: pa.Table, window: int):
-        ids = [LAST if v is None else v for v in table.column("_id").to_pylist()]
-        texts = [(v or "").encode() for v in table.column("_t").to_pylist()]
-        self.order = sorted(range(len(ids)), key=lambda i: (ids[i], texts[i]))
-        self.ids = np.array([ids[i] for i in self.order], dtype=np.int64)
-        self.texts = [texts[i] for i in self.order]
+        self.order, self.ids, self.texts = ordered(table)
         self.window = window
-        self.cache = None
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """Per window: 64-bit hash, 32 more bits, document and start (in words)."""
@@ -81,74 +67,17 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
     An empty table gives no rows. Blocks hold about ``block_bytes`` of text
     at any size of the corpus.
     """
-    spark = docs.sparkSession
-    total = int(docs.agg(F.sum(F.octet_length(text_col).cast("long"))).first()[0] or 0)
-    n = max(1, -(-total // block_bytes))
-    bits = max(16, int(np.ceil(np.log2(max(1, total) / 6 * 32))))  # six bytes a word, 32 cells a window
-    ranges = n
-
     kept = {c: f"_c{i}" for i, c in enumerate(carry)}
-    rows = docs.select(F.pmod(F.xxhash64(id_col), F.lit(n)).cast("int").alias("_block"),
-                       F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"),
-                       *(F.col(c).alias(k) for c, k in kept.items()))
-    name = f"lg_blocks_{uuid.uuid4().hex}"
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/loomgraph-tables/{name}"
-    (rows.repartition(n, "_block").write.bucketBy(n, "_block").option("path", path)
-     .option("compression", "zstd").saveAsTable(name))
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(p)
-    table = spark.table(name)
+    table, grid = block_table(docs, id_col, text_col, block_bytes, kept)
     texts = table.select("_block", "_id", "_t")
 
-    def of_range(h: np.ndarray) -> np.ndarray:
-        """Range of sorted hashes: equal parts of the hash space."""
-        return ((h >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32)).astype(np.int64)
-
-    def by_range(block: int, h: np.ndarray, blob) -> list[tuple[int, int, bytes]]:
-        edge = np.searchsorted(of_range(h), np.arange(ranges + 1))
-        return [(r, block, blob(edge[r], edge[r + 1])) for r in range(ranges) if edge[r] < edge[r + 1]]
-
-    def reply(rows: list[tuple]) -> pa.Table:
-        cols = list(zip(*rows)) or [(), (), ()]
-        return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()), pa.array(cols[2], pa.binary())],
-                        ["_range", "_block", "_data"])
-
-    def sketch(block: pa.Table) -> pa.Table:
-        h = np.sort(Block(block, window).hashes()[0])
-        cell = h >> np.uint64(64 - bits)
-        new = np.diff(cell, prepend=~cell[:1]) != 0
-        at = np.flatnonzero(new)
-        count = np.diff(np.append(at, len(cell)))
-        cell, many, h = cell[at], count > 1, h[at]
-        return reply(by_range(block.column("_block")[0].as_py(), h, lambda a, b: packed(
-            gaps(cell[a:b]), np.packbits(many[a:b]))))
-
-    def merge(part: pa.Table) -> pa.Table:
-        r = part.column("_range")[0].as_py()
-        sent = []
-        for block, data in zip(part.column("_block").to_pylist(), part.column("_data").to_pylist()):
-            gap, many = unpacked(data)
-            sent.append((block, ungapped(gap), np.unpackbits(many, count=len(gap))))
-        cells, inverse = np.unique(np.concatenate([s[1] for s in sent]), return_inverse=True)
-        count = np.bincount(inverse, weights=1 + np.concatenate([s[2] for s in sent]), minlength=len(cells))
-        out, at = [], 0
-        for block, own, _ in sent:
-            hot = count[inverse[at:at + len(own)]] > 1
-            at += len(own)
-            if hot.any():
-                out.append((r, block, packed(gaps(own[hot]))))
-        return reply(out)
-
     def estimated(block: pa.Table, cells: list[bytes]):
         """The block's windows in repeated cells, by fingerprint and place."""
         own = Block(block, window)
         if not cells:
             return own, None
-        hot = np.sort(np.concatenate([ungapped(unpacked(c)[0]) for c in cells]))
         h, g, doc, start = own.hashes()
-        cell = h >> np.uint64(64 - bits)
-        at = np.searchsorted(hot, cell)
-        some = np.flatnonzero(hot[np.minimum(at, len(hot) - 1)] == cell)
+        some = np.flatnonzero(magnitudes(h, grid, *received(cells)))
         some = some[np.lexsort((g[some], h[some]))]  # stable: places stay in order
         h, g, doc, start = h[some], g[some], doc[some], start[some]
         new = np.ones(len(h), bool)
@@ -158,7 +87,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
     def candidates(key, block: pa.Table, sent: pa.Table) -> pa.Table:
         own, found = estimated(block, sent.column("_data").to_pylist())
         if found is None:
-            return reply([])
+            return blobs([])
         h, g, doc, _, new = found
         h, g, doc = h[new], g[new], doc[new]
 
@@ -166,7 +95,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
             docs_, place = np.unique(own.ids[doc[a:b]], return_inverse=True)
             small = place.astype("<u2" if len(docs_) <= 1 << 16 else "<u4")
             return packed(gaps(h[a:b]), g[a:b], docs_, small)
-        return reply(by_range(key[0].as_py(), h, blob))
+        return grid.by_range(key[0].as_py(), h, blob)
 
     def decide(part: pa.Table) -> pa.Table:
         r = part.column("_range")[0].as_py()
@@ -187,7 +116,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
         for block, size in names:
             out.append((r, block, packed(np.packbits(first[at:at + size]))))
             at += size
-        return reply(out)
+        return blobs(out)
 
     def remove(key, block: pa.Table, sent: pa.Table) -> pa.Table:
         data = sorted(zip(sent.column("_range").to_pylist(), sent.column("_kind").to_pylist(),
@@ -196,7 +125,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
         starts: list[np.ndarray] = [np.zeros(0, np.int64)] * len(own.texts)
         if found is not None:
             h, _, doc, start, new = found
-            sizes = np.bincount(of_range(h[new]), minlength=ranges)
+            sizes = np.bincount(grid.range_of(h[new]), minlength=grid.n)
             first = np.concatenate([np.unpackbits(unpacked(d)[0], count=sizes[r]) for r, kind, d in data if kind == 1])
             again = np.ones(len(h), bool)  # all occurrences but the first holder's first
             again[new] = first == 0
@@ -221,12 +150,10 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
                          pa.array(gone, pa.int64()), *(back.column(k) for k in kept.values())],
                         ["_id", "_t", "n_words", "n_removed", *kept.values()])
 
-    blob = "_range int, _block int, _data binary"
-    hot = materialize(texts.groupBy("_block").applyInArrow(sketch, blob)
-                      .groupBy("_range").applyInArrow(merge, blob), "repeat-cells")
+    hot = repeated_cells(texts, grid, lambda block: Block(block, window).hashes()[0])
     verdicts = materialize(
-        texts.groupBy("_block").cogroup(hot.groupBy("_block")).applyInArrow(candidates, blob)
-        .groupBy("_range").applyInArrow(decide, blob), "repeat-first")
+        texts.groupBy("_block").cogroup(hot.groupBy("_block")).applyInArrow(candidates, BLOBS)
+        .groupBy("_range").applyInArrow(decide, BLOBS), "repeat-first")
     sent = hot.withColumn("_kind", F.lit(0)).unionByName(verdicts.withColumn("_kind", F.lit(1)))
     kinds = dict((f.name, f.dataType.simpleString()) for f in table.schema)
     schema = "_id long, _t string, n_words long, n_removed long" + "".join(f", {k} {kinds[k]}" for k in kept.values())
