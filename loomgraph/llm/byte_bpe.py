@@ -50,6 +50,7 @@ class ByteBPE:
     """Encoder and decoder for one rank file and match pattern."""
 
     def __init__(self, rank_path: str, pattern: str):
+        import ahocorasick
         import regex
         from tokenizers import models
 
@@ -69,15 +70,20 @@ class ByteBPE:
         vocab = {self._chars(t): r for t, r in self.ranks.items()}
         self.model = models.BPE(vocab=vocab, merges=merges, ignore_merges=True, cache_capacity=0)
         self.pattern = regex.compile(pattern)
-        self.overlap = regex.compile("|".join(regex.escape(self._chars(x)) for x in set(overlaps)) or r"(?!)")
+        self.overlaps = ahocorasick.Automaton()
+        for x in overlaps:
+            self.overlaps.add_word(self._chars(x), True)
+        self.overlaps.make_automaton()
         self.decimal = [str(i) for i in range(len(self.token_bytes))]
-        self.first: dict[str, bytes | None] = {}
-        self.later: dict[str, bytes | None] = {}
+        self.first, self.later = Chunks(self, ""), Chunks(self, " ")
         self.matches: dict[str, bytes] = {}
 
     def _chars(self, data: bytes) -> str:
         return data.decode("latin-1").translate(self.table)
 
+    def _overlaps(self, chars: str) -> bool:
+        return bool(self.overlaps) and next(self.overlaps.iter(chars), None) is not None
+
     def _leftmost(self, data: bytes) -> list[int]:
         """Merge the lowest ranked adjacent pair, leftmost first, until none is left."""
         if data in self.ranks:
@@ -109,7 +115,7 @@ class ByteBPE:
         if got is None:
             data = match.encode()
             chars = self._chars(data)
-            if len(chars) > 2 and self.overlap.search(chars):
+            if len(chars) > 2 and self._overlaps(chars):
                 ids = self._leftmost(data)
             else:
                 ids = [t.id for t in self.model.tokenize(chars)]
@@ -125,19 +131,11 @@ class ByteBPE:
         """Token ids of the whole text (null: none), as unsigned 32-bit."""
         if not text:
             return np.empty(0, "<u4")
-        parts = text.split(" ")
-        for cache, lead, chunk in ((self.first, "", parts[0]), *((self.later, " ", c) for c in set(parts[1:]))):
-            if chunk not in cache:
-                if len(cache) >= CHUNKS:
-                    cache.clear()
-                # a space beside white space belongs to a longer match
-                safe = chunk and not chunk[0].isspace() and not chunk[-1].isspace()
-                cache[chunk] = self._part_ids(lead + chunk) if safe else None
-        try:
-            ids = [self.first[parts[0]], *map(self.later.__getitem__, parts[1:])]
-            return np.frombuffer(b"".join(ids), "<u4")
-        except (KeyError, TypeError):  # evicted meanwhile, or white space beside a space
+        first, *later = text.split(" ")
+        ids = [self.first[first], *map(self.later.__getitem__, later)]
+        if None in ids:  # white space beside a space
             return np.frombuffer(self._part_ids(text), "<u4")
+        return np.frombuffer(b"".join(ids), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
         """The bytes of the ids; a character split over tokens comes back whole."""
@@ -153,6 +151,22 @@ class ByteBPE:
         return [(int(char[s + 1]) - 1, int(char[e])) for s, e in zip(starts, ends)]
 
 
+class Chunks(dict):
+    """Ids of chunks of text that begin after ``lead``; none where a blank at
+    an end of the chunk belongs to a longer match."""
+
+    def __init__(self, bpe: ByteBPE, lead: str):
+        super().__init__()
+        self.bpe, self.lead = bpe, lead
+
+    def __missing__(self, chunk: str) -> bytes | None:
+        if len(self) >= CHUNKS:
+            self.clear()
+        safe = chunk and not chunk[0].isspace() and not chunk[-1].isspace()
+        got = self[chunk] = self.bpe._part_ids(self.lead + chunk) if safe else None
+        return got
+
+
 _MODELS: dict[tuple[str, str], ByteBPE] = {}
 
 
