@@ -155,7 +155,7 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, block
         sets = shingle_sets(ordered(block)[2], words)
         return np.concatenate(sets) if sets else np.zeros(0, np.uint64)
 
-    def signatures(key, block: pa.Table, sent: pa.Table) -> pa.Table:
+    def signatures(key: tuple[pa.Scalar, ...], block: pa.Table, sent: pa.Table) -> pa.Table:
         _, ids, texts = ordered(block)
         known = received(sent.column("_data").to_pylist())
         rows = []

@@ -97,3 +97,20 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomgraph.llm.jaccard_join import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"), words=5, percent=75)
+
+
+@query("op2_pruned_graph_ann")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from loomgraph.llm.ann_graph import nearest
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
+@query("op4_line_patience_dedup")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from loomgraph.llm.line_align import line_dedup
+    return line_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))

@@ -55,9 +55,10 @@ class Block:
 
 def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 << 20,
                     id_col: str = "doc_id", text_col: str = "text",
-                    carry: tuple[str, ...] = ()) -> DataFrame:
+                    carry: tuple[str, ...] = (), as_written: bool = False) -> DataFrame:
     """``(id, text, n_words, n_removed, *carry)``: the kept words of every
-    document joined by one space.
+    document joined by one space. With ``as_written`` a document that loses
+    nothing keeps its text as it is (null included).
 
     Null and empty texts have no words; texts shorter than a window lose
     nothing. Equal documents: the one with the smallest id keeps its words.
@@ -84,7 +85,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
         new[1:] = (h[1:] != h[:-1]) | (g[1:] != g[:-1])
         return own, (h, g, doc, start, new)
 
-    def candidates(key, block: pa.Table, sent: pa.Table) -> pa.Table:
+    def candidates(key: tuple[pa.Scalar, ...], block: pa.Table, sent: pa.Table) -> pa.Table:
         own, found = estimated(block, sent.column("_data").to_pylist())
         if found is None:
             return blobs([])
@@ -118,7 +119,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
             at += size
         return blobs(out)
 
-    def remove(key, block: pa.Table, sent: pa.Table) -> pa.Table:
+    def remove(key: tuple[pa.Scalar, ...], block: pa.Table, sent: pa.Table) -> pa.Table:
         data = sorted(zip(sent.column("_range").to_pylist(), sent.column("_kind").to_pylist(),
                           sent.column("_data").to_pylist()))
         own, found = estimated(block, [d for _, kind, d in data if kind == 0])
@@ -134,7 +135,8 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
             at = start[again][by].astype(np.int64)
             starts = [at[edge[i]:edge[i + 1]] for i in range(len(own.texts))]
         text, count, gone = [], [], []
-        for raw, s in zip(own.texts, starts):
+        given = block.column("_t")
+        for row, raw, s in zip(own.order, own.texts, starts):
             words = raw.split()
             if len(s):
                 cover = np.bincount(s, minlength=len(words) + 1) - np.bincount(s + window, minlength=len(words) + 1)
@@ -143,7 +145,7 @@ def substring_dedup(docs: DataFrame, window: int = 20, block_bytes: int = 12 <<
                 text.append(b" ".join([w for w, d in zip(words, drop) if not d]).decode())
             else:
                 gone.append(0)
-                text.append(b" ".join(words).decode())
+                text.append(given[row].as_py() if as_written else b" ".join(words).decode())
             count.append(len(words))
         back = block.take(pa.array(own.order, pa.int64()))
         return pa.table([back.column("_id"), pa.array(text, pa.string()), pa.array(count, pa.int64()),
