@@ -1,13 +1,78 @@
-"""Corpus pipeline: toxicity filter, deduplication and packing (stages are
-registered as their operators come in)."""
+"""Corpus pipeline: toxicity filter, exact dedup, near-duplicate join,
+repeated passages, packing.
+
+Each stage is ``f(spark, docs, sf_dir) -> DataFrame`` and works on all rows
+its predecessor kept; all but the last return the columns of ``documents``.
+Rows with null ids, null or empty texts, ties and extra columns are treated
+as the operators' docstrings state; an empty table passes through.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from loomgraph.llm import exact_dedup as exact
+from loomgraph.llm import jaccard_join as near
+from loomgraph.llm import packing, substring_dedup, toxicity
+from loomgraph.llm.queries import fold
+
+
+def _among(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id (null included) is in the one column of ``ids``."""
+    return docs.join(ids.toDF("_keep"), F.col("doc_id").eqNullSafe(F.col("_keep")), "left_semi")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose CRF score is below 0.5. Trained on a bounded sample of
+    the labelled documents outside fold 0 of 5."""
+    labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet")
+    return toxicity.reject(docs, toxicity.train(*toxicity.sample(docs, labels, fold(5) != 0)))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of equal texts."""
+    return _among(docs, exact.exact_dedup(docs).where("kept").select("doc_id").distinct())
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The smallest id of each group of documents linked by five-word shingles
+    at a similarity of 0.75 or more."""
+    found = near.jaccard_components(docs, words=5, percent=75)
+    return _among(docs, found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct())
+
+
+def drop_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, without the words of 20-word windows that also start
+    earlier in the corpus; ``n_chars`` follows the text."""
+    rest = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
+    out = substring_dedup.substring_dedup(docs, window=20, carry=rest, as_written=True)
+    if "n_chars" in rest:
+        out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
+                             .otherwise(F.col("n_chars")))
+    return out.select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of sequences of 2048 along the Hilbert curve."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"), end_id=1, length=2048)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("exact_dedup", drop_copies),
+    ("ngram_jaccard_join", drop_near_copies),
+    ("substring_dedup", drop_passages),
+    ("packing", pack),
+]
+
+#: SQL cannot express the trained tagger, so there is none; tests/llm compares
+#: the stages with brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
     for _, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
