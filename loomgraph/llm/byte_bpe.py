@@ -22,6 +22,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CHUNKS, MATCHES = 400_000, 500_000  # entries of the two caches
+from loomgraph.llm.caches import Cache
+
+CHUNKS, MATCHES = 400_000, 600_000  # entries of the two caches
 
 
 def byte_table() -> list[str]:
@@ -75,8 +78,9 @@ class ByteBPE:
             self.overlaps.add_word(self._chars(x), True)
         self.overlaps.make_automaton()
         self.decimal = [str(i) for i in range(len(self.token_bytes))]
-        self.first, self.later = Chunks(self, ""), Chunks(self, " ")
-        self.matches: dict[str, bytes] = {}
+        self.first = Cache(lambda chunk: self._chunk_ids("", chunk), CHUNKS // 10)
+        self.later = Cache(lambda chunk: self._chunk_ids(" ", chunk), CHUNKS)
+        self.matches = Cache(self._match_ids, MATCHES)
 
     def _chars(self, data: bytes) -> str:
         return data.decode("latin-1").translate(self.table)
@@ -111,21 +115,23 @@ class ByteBPE:
         return [self.ranks[data[i:end[i]]] for i in range(n) if alive[i]]
 
     def _match_ids(self, match: str) -> bytes:
-        got = self.matches.get(match)
-        if got is None:
-            data = match.encode()
-            chars = self._chars(data)
-            if len(chars) > 2 and self._overlaps(chars):
-                ids = self._leftmost(data)
-            else:
-                ids = [t.id for t in self.model.tokenize(chars)]
-            if len(self.matches) >= MATCHES:
-                self.matches.clear()
-            got = self.matches[match] = np.array(ids, dtype="<u4").tobytes()
-        return got
+        data = match.encode()
+        chars = self._chars(data)
+        if len(chars) > 2 and self._overlaps(chars):
+            ids = self._leftmost(data)
+        else:
+            ids = [t.id for t in self.model.tokenize(chars)]
+        return array("I", ids).tobytes()
 
     def _part_ids(self, text: str) -> bytes:
-        return b"".join(map(self._match_ids, self.pattern.findall(text)))
+        return b"".join(map(self.matches.__getitem__, self.pattern.findall(text)))
+
+    def _chunk_ids(self, lead: str, chunk: str) -> bytes | None:
+        """Ids of a chunk that follows ``lead``; none where a blank at an end
+        of the chunk may belong to a longer match."""
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+            return None
+        return self._part_ids(lead + chunk)
 
     def encode(self, text: str | None) -> np.ndarray:
         """Token ids of the whole text (null: none), as unsigned 32-bit."""
@@ -151,22 +157,6 @@ class ByteBPE:
         return [(int(char[s + 1]) - 1, int(char[e])) for s, e in zip(starts, ends)]
 
 
-class Chunks(dict):
-    """Ids of chunks of text that begin after ``lead``; none where a blank at
-    an end of the chunk belongs to a longer match."""
-
-    def __init__(self, bpe: ByteBPE, lead: str):
-        super().__init__()
-        self.bpe, self.lead = bpe, lead
-
-    def __missing__(self, chunk: str) -> bytes | None:
-        if len(self) >= CHUNKS:
-            self.clear()
-        safe = chunk and not chunk[0].isspace() and not chunk[-1].isspace()
-        got = self[chunk] = self.bpe._part_ids(self.lead + chunk) if safe else None
-        return got
-
-
 _MODELS: dict[tuple[str, str], ByteBPE] = {}
 
 

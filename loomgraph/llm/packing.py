@@ -14,7 +14,9 @@ many range partitions as its size asks for.
 
 from __future__ import annotations
 
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,9 +26,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomgraph.llm.byte_bpe import byte_table
+from loomgraph.llm.caches import Cache
 from loomgraph.session import materialize
 
-WORDS, PIECES = 300_000, 400_000  # entries of the two caches
+WORDS, PIECES = 500_000, 600_000  # entries of the two caches
+PLAIN = re.compile("[!-~\u00c0-\u024f]+")  # marks and Latin letters in composed form
 HASHED, DIMS, BITS = 64, 4, 15    # vector width, projected width, bits a dimension
 
 
@@ -56,8 +60,7 @@ class WordBPE:
             self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
             self.table = dict(enumerate(byte_table()))
             self.model = self.tokenizer.model
-        self.words: dict[bytes, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        self.words, self.pieces = Cache(self.word, WORDS), Cache(self.piece, PIECES)
 
     @staticmethod
     def _fits(spec: dict) -> bool:
@@ -67,40 +70,27 @@ class WordBPE:
                 and cuts[0].get("behavior") == "Removed" and bool(cuts[0].get("invert"))
                 and not any(t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]))
 
-    def _word(self, word: bytes) -> bytes:
+    def _ids(self, ids: list[int]) -> bytes:
+        return array(self.kind.char, ids).tobytes()
+
+    def word(self, word: bytes) -> bytes:
         text = word.decode()
-        if not text.isascii() and not text.isalpha() or any(s in text for s in self.special):
-            # marks, special tokens and rarer cases: the library's own steps
-            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
-            return np.array(ids, self.kind).tobytes()
-        if not text.isascii():
-            import unicodedata
-            text = unicodedata.normalize("NFC", text)
-        return b"".join(map(self._piece, self.cut.findall("".join(map(str.lower, text)))))
-
-    def _piece(self, piece: str) -> bytes:
-        got = self.pieces.get(piece)
-        if got is None:
-            if len(self.pieces) >= PIECES:
-                self.pieces.clear()
-            chars = piece.encode().decode("latin-1").translate(self.table)
-            got = self.pieces[piece] = np.array([t.id for t in self.model.tokenize(chars)], self.kind).tobytes()
-        return got
+        if not PLAIN.fullmatch(text) or "<" in text and any(s in text for s in self.special):
+            # other scripts, marks and special tokens: the library's own steps
+            return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return b"".join(map(self.pieces.__getitem__, self.cut.findall(text.lower())))
+
+    def piece(self, piece: str) -> bytes:
+        chars = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
+        return self._ids([t.id for t in self.model.tokenize(chars)])
 
     def encode(self, text: str | None) -> np.ndarray:
         if not text:
             return np.empty(0, self.kind)
         if not self.fits:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
-        out, cache = [], self.words
-        for word in text.encode().split():  # ASCII blanks only
-            got = cache.get(word)
-            if got is None:
-                if len(cache) >= WORDS:
-                    cache.clear()
-                got = cache[word] = self._word(word)
-            out.append(got)
-        return np.frombuffer(b"".join(out), self.kind)
+        # bytes.split cuts at ASCII blanks only
+        return np.frombuffer(b"".join(map(self.words.__getitem__, text.encode().split())), self.kind)
 
 
 _MODELS: dict[str, WordBPE] = {}
@@ -121,14 +111,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 
 
 def vectors(rows: list[np.ndarray], vocab: int) -> np.ndarray:
-    """Unit vectors of signed, damped token counts hashed to ``HASHED`` cells."""
+    """Unit vectors of signed token counts hashed to ``HASHED`` cells and damped."""
     h = _mixed(np.arange(vocab))
     cell, sign = (h % np.uint64(HASHED)).astype(np.int64), np.where(h >> np.uint64(63), 1.0, -1.0)
     out = np.zeros((len(rows), HASHED))
     for i, ids in enumerate(rows):
-        if len(ids):
-            seen, n = np.unique(ids, return_counts=True)
-            out[i] = np.bincount(cell[seen], weights=sign[seen] * np.log1p(n), minlength=HASHED)
+        out[i] = np.bincount(cell[ids], weights=sign[ids], minlength=HASHED)
+    out = np.sign(out) * np.log1p(np.abs(out))
     norm = np.linalg.norm(out, axis=1, keepdims=True)
     return out / np.where(norm > 0, norm, 1)
 
@@ -171,8 +160,8 @@ def curve_keys(rows: list[np.ndarray], vocab: int) -> np.ndarray:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 2048,
-         id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids)``
+         id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True) -> DataFrame:
+    """``(id, start, length, ids_crc32, doc_tokens, sequence_id, offset[, ids])``
     per piece of a document; ``ids`` (array of int) are the piece's tokens.
 
     A null or empty text is the end id alone. Each token lies in exactly one
@@ -209,15 +198,19 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 20
                 while at < n:
                     seq, off = divmod(begin + at, length)
                     some = ids[at:at + length - off]
-                    out.append((doc, at, len(some), zlib.crc32(some.tobytes()), n, seq, off, some))
+                    out.append((doc, at, len(some), zlib.crc32(some.tobytes()), n, seq, off,
+                                *([some] if with_ids else [])))
                     at += len(some)
-            cols = list(zip(*out)) or [()] * 8
+            cols = list(zip(*out)) or [()] * (8 if with_ids else 7)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, pa.int64()) for c in cols[:7]] + [pa.array(cols[7], pa.list_(pa.int32()))],
-                ["id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"])
+                [pa.array(c, pa.int64()) for c in cols[:7]] + [pa.array(c, pa.list_(pa.int32())) for c in cols[7:]],
+                [c.split()[0] for c in schema])
 
+    schema = ["id long", "start long", "length long", "ids_crc32 long", "doc_tokens long", "sequence_id long",
+              "offset long", *(["ids array<int>"] if with_ids else [])]
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
-    keyed = rows.mapInArrow(tokenized, "id long, key long, n long, ids binary")
+    # written first: sorting by range samples its input, which would tokenize twice
+    keyed = materialize(rows.mapInArrow(tokenized, "id long, key long, n long, ids binary"), "pack-tokens", codec="zstd")
     order = ["key", "id", "n"]
     table = (keyed.repartitionByRange(*order).sortWithinPartitions(*order, "ids")
              .select("id", F.spark_partition_id().alias("p"), "n", "ids")
@@ -227,6 +220,4 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 20
     base = totals.select("p", F.coalesce(F.sum("s").over(W.orderBy("p").rowsBetween(W.unboundedPreceding, -1)),
                                          F.lit(0)).alias("b"))
     located = table.join(F.broadcast(base), "p").select("id", (F.col("b") + F.col("before")).alias("begin"), "n", "ids")
-    out = located.mapInArrow(cut, "id long, start long, length long, ids_crc32 long, doc_tokens long, "
-                                  "sequence_id long, offset long, ids array<int>")
-    return out.withColumnRenamed("id", id_col)
+    return located.mapInArrow(cut, ", ".join(schema)).withColumnRenamed("id", id_col)

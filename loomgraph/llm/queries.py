@@ -35,7 +35,7 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     from loomgraph.llm.packing import pack
-    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json")).drop("ids")
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), with_ids=False)
 
 
 @query("op8_progressive_exact_dedup", sql=r"""
