@@ -81,7 +81,7 @@ def toxic_features(sets: list[set[str]], ys: list[int]) -> set[str]:
     for s, y in zip(sets, ys):
         seen[y].update(s)
     share = np.clip(np.mean(ys), 1e-6, 1 - 1e-6) if ys else 0.5
-    bar = np.log(len(seen[1]) + 1) + np.log(100)
+    bar = np.log(len(seen[1]) + 1) + np.log(10)
     out = set()
     for f, a in seen[1].items():
         b = seen[0][f]
