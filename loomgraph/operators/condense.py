@@ -10,6 +10,8 @@ plugged in instead through :mod:`loomgraph.operators.hooks`.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,12 +38,13 @@ def sentence_scores(sentences: DataFrame, key: list[str], text: str = "sentence"
 
 def budget_select(rows: DataFrame, group: list[str], rank_cols: list, budget, order: str,
                   text: str, max_budget: int) -> DataFrame:
-    """Keep rows by rank while the running word count is within ``budget``
-    (the first-ranked row is always kept), then join the kept texts in
-    ``order``: ``(*group, summary, n_kept)`` (W3).
+    """Take rows by rank until ``budget`` words are used: a row that crosses
+    the limit is cut to the words left, as truncation of the joined text would
+    do, and later rows are dropped. The taken texts are joined in ``order``:
+    ``(*group, summary, n_kept)`` (W3). No summary exceeds its budget.
 
     Rows without words are skipped (they add nothing). Every other row has
-    at least one word, so no more than ``max_budget + 1`` rows can be kept
+    at least one word, so no more than ``max_budget`` rows can be taken
     (``max_budget`` bounds ``budget``): ranks beyond that are cut first with
     a ``row_number`` filter, which Spark runs as a partial top-k on each map
     task before the shuffle, so even a huge group reaches one task as a few
@@ -49,15 +52,25 @@ def budget_select(rows: DataFrame, group: list[str], rank_cols: list, budget, or
     w = Window.partitionBy(*group).orderBy(*rank_cols)
     r = (rows.withColumn("nw", tx.word_count(text)).where(F.col("nw") > 0)
          .withColumn("rk", F.row_number().over(w))
-         .where(F.col("rk") <= F.lit(max_budget + 1)))
-    r = r.withColumn("run", F.sum("nw").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    kept = r.where((F.col("rk") == 1) | (F.col("run") <= budget))
+         .where(F.col("rk") <= F.lit(max_budget)))
+    kept = within_budget(r, w, budget, text)
     return kept.groupBy(*group).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]),
                      " ").alias("summary"),
         F.count(F.lit(1)).alias("n_kept"))
 
 
+def within_budget(rows: DataFrame, w, budget, text: str) -> DataFrame:
+    """Rows that begin within ``budget`` words of their window ``w``, the last
+    one cut to the words left. ``rows`` carries the word count ``nw``."""
+    r = rows.withColumn("run", F.sum("nw").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    before = F.col("run") - F.col("nw")
+    left = (F.lit(0) + budget - before).cast("int")
+    cut = F.array_join(F.slice(tx.whitespace_tokens(text), F.lit(1), F.greatest(left, F.lit(0))), " ")
+    return (r.where(before < budget)
+            .withColumn(text, F.when(F.col("run") <= budget, F.col(text)).otherwise(cut)))
+
+
 def extractive_chunks(sentences: DataFrame, chunks: DataFrame, min_words: int = 10) -> DataFrame:
     """M1 over chunks. ``sentences(doc_id, pos, sentence, chunk)``,
     ``chunks(doc_id, chunk, text)``. Each chunk keeps its best sentences
@@ -121,12 +134,12 @@ def flat_reduce(sentences: DataFrame, group: str, order: str, text: str = "sente
 
 
 def tree_reduce(sentences: DataFrame, group: str, order: str, text: str = "sentence",
-                pack_tokens: int = 450, max_rounds: int = 8) -> DataFrame:
+                pack_tokens: int = 450) -> DataFrame:
     """M4: repeated pack (G4 at ``pack_tokens``) -> condense each pack to the
     P11 target of the group (``max(60, int(0.7 * total))``, total taken once
-    at the start, as in the reference) until a group is one text, no group
-    shrinks any more (D10) or ``max_rounds`` is reached. Each round is
-    written as a table (lineage cut). ``sentences`` carries ``score``.
+    at the start, as in the reference) until every group is one text or no
+    group shrinks any more (D10); the row count falls with every other round,
+    so the loop ends by itself. Each round is written as a table (lineage cut). ``sentences`` carries ``score``.
     Returns ``(group, summary, rounds)``."""
     from loomgraph.operators.chunks import reduction_target
     from loomgraph.session import materialize
@@ -135,7 +148,7 @@ def tree_reduce(sentences: DataFrame, group: str, order: str, text: str = "sente
     cur = materialize(sentences.select(group, F.col(order).alias("o"), F.col(text).alias("t"), "score")
                       .withColumn("round", F.lit(0)), "tree")
     n_rows = cur.count()
-    for rnd in range(1, max_rounds + 1):
+    for rnd in itertools.count(1):
         packs = pack_assign(cur, group, "o", "t", pack_tokens).join(cur.select(group, "o", "score"), [group, "o"])
         packs = packs.join(totals, group)
         # a pack holds at most pack_tokens words, so that bounds its budget

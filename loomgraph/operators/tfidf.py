@@ -1,13 +1,16 @@
 """Sparse TF-IDF vectors in long form and sparse similarity joins.
 
-A vector is a set of rows ``(id, term, weight)``. The vocabulary is every
-term whose document frequency is at most ``max_df`` (terms above it are
-corpus-specific stop words and are not part of any vector, like a
-vectorizer's ``max_df``). Weights are ``tf * ln((N + 1) / (df + 1))``,
-L2-normalised per id. Because no vocabulary term has more than ``max_df``
-postings, the inverted-index self join on ``term`` produces at most
-``max_df**2 / 2`` pairs per term: the pair join is exact for these vectors
-and no group can explode, whatever the corpus size.
+A vector is a set of rows ``(id, term, weight)`` over every term of its text.
+Weights are ``tf * ln((N + 1) / (df + 1))``, L2-normalised per id.
+
+Neighbours are found in two steps. *Candidates*: documents that share a rare
+term (2 to ``rare_df`` documents hold it), so a term proposes at most
+``rare_df`` partners per document whatever the corpus size; a document without
+a rare term uses its rarest shared term, however frequent. The candidates are
+ranked by what the proposing terms contribute and the best ``per_doc`` of each
+document go on, as ids. *Scores*: the exact cosine of those pairs over the
+whole vectors. Documents that share only frequent terms are far apart under
+these weights, and are not proposed.
 
 Joins against the vocabulary are left to Spark: AQE turns them into
 broadcast joins when the runtime size of the vocabulary is under the
@@ -49,7 +52,7 @@ class SparseSpace:
 
 
 def tfidf(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-          max_df: int = 20, input_is_table: bool = False) -> SparseSpace:
+          input_is_table: bool = False) -> SparseSpace:
     """TF-IDF vectors of ``text_col`` keyed by ``id_col``.
     The input texts, postings, vocabulary and vectors are each written once
     as tables in the checkpoint folder: the document count, the postings and
@@ -61,7 +64,6 @@ def tfidf(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_docs = docs.count()
     tf = materialize(term_frequencies(docs, id_col, text_col), "postings")
     vocab = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-             .where(F.col("df") <= F.lit(max_df))
              .withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))))
     vocab = materialize(vocab, "vocabulary")
     return SparseSpace(materialize(weigh(tf, vocab), "tfidf"), vocab, n_docs)
@@ -82,15 +84,28 @@ def embed_queries(space: SparseSpace, queries: DataFrame, id_col: str, text_col:
     return weigh(term_frequencies(queries, id_col, text_col), space.vocabulary)
 
 
-def pair_similarities(vectors: DataFrame) -> DataFrame:
-    """Cosine of every pair of ids sharing a term: ``(a < b, sim)``.
+def candidates(space: SparseSpace, rare_df: int = 20, per_doc: int = 20) -> DataFrame:
+    """Directed candidate pairs ``(src, dst)``, at most ``per_doc`` per
+    ``src``, by shared rare terms (see the module)."""
+    held = space.vectors.join(space.vocabulary.where("df >= 2").select("term", "df"), "term")
+    by_rarity = Window.partitionBy("id").orderBy("df", "term")
+    # a document's first row is rare unless it has no rare term at all
+    probe = (held.withColumn("r", F.row_number().over(by_rarity))
+             .where((F.col("df") <= rare_df) | (F.col("r") == 1))
+             .select("term", F.col("id").alias("src"), F.col("weight").alias("ws")))
+    holders = space.vectors.select("term", F.col("id").alias("dst"), F.col("weight").alias("wd"))
+    part = (probe.join(holders, "term").where(F.col("src") != F.col("dst"))
+            .groupBy("src", "dst").agg(F.round(F.sum(F.col("ws") * F.col("wd")), 6).alias("part")))
+    best = Window.partitionBy("src").orderBy(F.col("part").desc(), F.col("dst"))
+    return part.withColumn("r", F.row_number().over(best)).where(F.col("r") <= per_doc).select("src", "dst")
 
-    Equi-join on ``term`` (per-term fan-out bounded by ``max_df``), partial
-    sums combined map-side by the aggregation on ``(a, b)``."""
-    p = vectors.select("term", F.col("id").alias("a"), F.col("weight").alias("wa"))
-    q = vectors.select("term", F.col("id").alias("b"), F.col("weight").alias("wb"))
-    prod = p.join(q, "term").where(F.col("a") < F.col("b"))
-    return prod.groupBy("a", "b").agg(F.sum(F.col("wa") * F.col("wb")).alias("sim"))
+
+def pair_cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Exact cosine of listed pairs ``(src, dst)``, rounded to 6 places."""
+    a = vectors.select(F.col("id").alias("src"), "term", F.col("weight").alias("wa"))
+    b = vectors.select(F.col("id").alias("dst"), "term", F.col("weight").alias("wb"))
+    return (pairs.join(a, "src").join(b, ["dst", "term"])
+            .groupBy("src", "dst").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("sim")))
 
 
 def cross_similarities(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -102,9 +117,7 @@ def cross_similarities(left: DataFrame, right: DataFrame) -> DataFrame:
 
 
 def topk_neighbours(pairs: DataFrame, k: int) -> DataFrame:
-    """Directed top-k per id from symmetric pair scores ``(a < b, sim)``:
+    """Best ``k`` per ``src`` of directed pairs ``(src, dst, sim)``:
     ``(src, dst, sim, rank)``, ties to the smaller ``dst``."""
-    both = (pairs.select(F.col("a").alias("src"), F.col("b").alias("dst"), "sim")
-            .unionByName(pairs.select(F.col("b").alias("src"), F.col("a").alias("dst"), "sim")))
     w = Window.partitionBy("src").orderBy(F.col("sim").desc(), F.col("dst").asc())
-    return both.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -48,8 +48,8 @@ rk AS (SELECT r.*, b.max_len,
               sum(nw) OVER (PARTITION BY r.doc_id, r.chunk ORDER BY score DESC, pos
                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
        FROM srows r JOIN bud b ON r.doc_id = b.doc_id AND r.chunk = b.chunk),
-picked AS (SELECT doc_id, chunk, string_agg(sentence, ' ' ORDER BY pos) AS summary
-           FROM rk WHERE rk = 1 OR run <= max_len GROUP BY doc_id, chunk),
+picked AS (SELECT doc_id, chunk, string_agg({S.budget_cut('sentence', 'max_len')}, ' ' ORDER BY pos) AS summary
+           FROM rk WHERE nw > 0 AND run - nw < max_len GROUP BY doc_id, chunk),
 ext AS (SELECT b.doc_id, b.chunk, CAST(b.n_tokens AS BIGINT) AS n_tokens,
                CASE WHEN b.n_tokens < 10 THEN '' ELSE coalesce(p.summary, '') END AS summary
         FROM bud b LEFT JOIN picked p ON b.doc_id = p.doc_id AND b.chunk = p.chunk)"""
@@ -85,15 +85,10 @@ def q_community_texts(spark, sf_dir):
 
 def doc_graph(spark, sf_dir):
     """Undirected top-k TF-IDF graph of the good documents (N1, sparse J2)."""
-    p = tv.pair_similarities(q_sparse.doc_space(spark, sf_dir).vectors).withColumn("sim", F.round("sim", 6))
-    return simjoin.undirected(tv.topk_neighbours(p, q_sparse.K), weight="sim")
+    return simjoin.undirected(tv.topk_neighbours(q_sparse.doc_pairs(spark, sf_dir), q_sparse.K), weight="sim")
 
 
 COMMUNITY_SQL = q_sparse.PAIRS_SQL + f""",
-dirs AS (SELECT a AS src, b AS dst, round(sim, 6) AS sim FROM pairs
-         UNION ALL SELECT b AS src, a AS dst, round(sim, 6) AS sim FROM pairs),
-knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS rnk FROM dirs)
-        WHERE rnk <= {q_sparse.K}),
 und AS (SELECT least(src, dst) AS src, greatest(src, dst) AS dst, max(sim) AS weight FROM knn GROUP BY 1, 2),
 {NODES_BODY},
 inner_e AS (SELECT ls.community, und.src, und.dst FROM und JOIN nodes ls ON und.src = ls.id
@@ -110,8 +105,8 @@ crk AS (SELECT *, {S.word_count('text')} AS nw FROM top WHERE {S.strip('text')}
 crun AS (SELECT *, row_number() OVER (PARTITION BY community ORDER BY rank) AS rk,
                 sum(nw) OVER (PARTITION BY community ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run
          FROM crk),
-cpick AS (SELECT community, string_agg(text, ' ' ORDER BY rank) AS summary FROM crun
-          WHERE rk = 1 OR run <= {SUMMARY_BUDGET} GROUP BY community),
+cpick AS (SELECT community, string_agg({S.budget_cut('text', SUMMARY_BUDGET)}, ' ' ORDER BY rank) AS summary FROM crun
+          WHERE nw > 0 AND run - nw < {SUMMARY_BUDGET} GROUP BY community),
 csum AS (SELECT c.community, CASE WHEN coalesce(trim(p.summary), '') = '' THEN '{cd.NO_SUMMARY}' ELSE p.summary END AS summary
          FROM (SELECT DISTINCT community FROM nodes) c LEFT JOIN cpick p USING (community))"""
 
@@ -164,8 +159,8 @@ prow AS (SELECT cs.*, pk.chunk FROM cs JOIN pk ON pk.community = cs.community AN
 prk AS (SELECT *, row_number() OVER (PARTITION BY community, chunk ORDER BY score DESC, doc_id, pos) AS rk,
                sum(ntok) OVER (PARTITION BY community, chunk ORDER BY score DESC, doc_id, pos
                                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM prow),
-psum AS (SELECT community, chunk, string_agg(sentence, ' ' ORDER BY doc_id, pos) AS summary
-         FROM prk WHERE rk = 1 OR run <= {FLAT_OUT} GROUP BY community, chunk)
+psum AS (SELECT community, chunk, string_agg({S.budget_cut('sentence', FLAT_OUT, 'ntok')}, ' ' ORDER BY doc_id, pos) AS summary
+         FROM prk WHERE ntok > 0 AND run - ntok < {FLAT_OUT} GROUP BY community, chunk)
 SELECT community, string_agg(summary, ' ' ORDER BY chunk) AS summary, count(*) AS n_packs
 FROM psum GROUP BY community""")
 def q_flat_reduce(spark, sf_dir):

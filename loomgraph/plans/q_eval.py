@@ -11,6 +11,7 @@ from loomgraph.operators import rouge as rg
 from loomgraph.operators import sentences as st
 from loomgraph.operators import tfidf as tv
 from loomgraph.operators import trainprep as tp
+from loomgraph.operators.condense import NO_SUMMARY
 from loomgraph.plans import q_condense, q_sparse
 from loomgraph.plans import sql_text as S
 from loomgraph.plans import stages
@@ -127,7 +128,8 @@ def retrieval(spark, sf_dir):
     index = rt.build_index(space, summaries, "community", "summary")
     bench = read_table(spark, sf_dir, "benchmark")
     qv = tv.embed_queries(space, bench, "item_id", "text")
-    hits = rt.l2_search(qv, index, K_RET)
+    asked = bench.select(F.col("item_id").alias("query"))
+    hits = rt.l2_search(asked, qv, index, summaries.select(F.col("community").alias("id")), K_RET)
     return space, summaries, bench, qv, hits
 
 
@@ -144,8 +146,10 @@ qtf AS (SELECT item_id AS id, term, count(*) AS tf FROM
 qw AS (SELECT id, term, tf * idf AS w FROM qtf JOIN voc USING (term)),
 qnrm AS (SELECT id, sqrt(sum(w * w)) AS nrm FROM qw GROUP BY id),
 qvec AS (SELECT id, term, w / nrm AS weight FROM qw JOIN qnrm USING (id) WHERE nrm > 0),
-xs AS (SELECT q.id AS query, i.id AS id, sum(q.weight * i.weight) AS sim
+xt AS (SELECT q.id AS query, i.id AS id, sum(q.weight * i.weight) AS sim
        FROM qvec q JOIN ivec i ON q.term = i.term GROUP BY q.id, i.id),
+xs AS (SELECT b.item_id AS query, c.community AS id, coalesce(xt.sim, 0.0) AS sim
+       FROM benchmark b CROSS JOIN csum c LEFT JOIN xt ON xt.query = b.item_id AND xt.id = c.community),
 hits AS (SELECT * FROM (SELECT query, id, round(2.0 - 2 * sim, 6) AS dist, round(sim, 6) AS cos,
                                row_number() OVER (PARTITION BY query ORDER BY round(2.0 - 2 * sim, 6), id) AS rank
                         FROM xs) WHERE rank <= {K_RET}),
@@ -205,26 +209,31 @@ def q_truncate_tokens(spark, sf_dir):
 @register("answer", sql=RET_SQL + f""",
 {S.sentences_cte()},
 cand AS (SELECT rr.query, n.id AS doc_id FROM rr JOIN nodes n ON n.community = rr.id),
-sterm AS (SELECT DISTINCT doc_id, pos, term FROM
-          (SELECT doc_id, pos, unnest(regexp_extract_all(lower(sentence), {S.q(tv.TERM)})) AS term FROM sents)),
-asc_ AS (SELECT c.query, s.doc_id, s.pos, round(sum(q.weight), 9) AS score
+stf AS (SELECT doc_id, pos, term, count(*) AS tf FROM
+        (SELECT doc_id, pos, unnest(regexp_extract_all(lower(sentence), {S.q(tv.TERM)})) AS term FROM sents) GROUP BY ALL),
+sw AS (SELECT doc_id, pos, term, tf * idf AS w FROM stf JOIN voc USING (term)),
+snrm AS (SELECT doc_id, pos, sqrt(sum(w * w)) AS nrm FROM sw GROUP BY doc_id, pos),
+sterm AS (SELECT doc_id, pos, term, w / nrm AS weight FROM sw JOIN snrm USING (doc_id, pos) WHERE nrm > 0),
+asc_ AS (SELECT c.query, s.doc_id, s.pos, round(sum(q.weight * s.weight), 9) AS score
          FROM cand c JOIN sterm s ON s.doc_id = c.doc_id JOIN qvec q ON q.id = c.query AND q.term = s.term
          GROUP BY c.query, s.doc_id, s.pos),
 arows AS (SELECT a.*, se.sentence, {S.word_count('se.sentence')} AS nw FROM asc_ a
           JOIN sents se ON se.doc_id = a.doc_id AND se.pos = a.pos),
 ar AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id, pos) AS rk,
               sum(nw) OVER (PARTITION BY query ORDER BY score DESC, doc_id, pos
-                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM arows)
-SELECT query, string_agg(sentence, ' ' ORDER BY rk) AS answer FROM ar
-WHERE rk = 1 OR run <= {ANSWER_BUDGET} GROUP BY query""")
+                            ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM arows),
+ans AS (SELECT query, string_agg({S.budget_cut('sentence', ANSWER_BUDGET)}, ' ' ORDER BY rk) AS answer FROM ar
+        WHERE run - nw < {ANSWER_BUDGET} GROUP BY query)
+SELECT b.item_id AS query, coalesce(answer, '{NO_SUMMARY}') AS answer
+FROM benchmark b LEFT JOIN ans ON ans.query = b.item_id""")
 def q_answer(spark, sf_dir):
     """M7 (extractive, T6 end to end): an answer of at most 150 words per
     benchmark query from the retrieved communities' sentences."""
-    _, _, qv, rr, _ = contexts(spark, sf_dir)
+    space, bench, qv, rr, _ = contexts(spark, sf_dir)
     nodes = q_condense.doc_nodes(spark, sf_dir)
     members = nodes.select(F.col("community").alias("id"), F.col("id").alias("doc_id"))
     sents = stages.sentences(spark, sf_dir)
-    return rt.answer(qv, rr, members, sents, ANSWER_BUDGET)
+    return rt.answer(bench.select(F.col("item_id").alias("query")), qv, rr, members, sents, space, ANSWER_BUDGET)
 
 
 # ------------------------------------------------------------ training data

@@ -9,9 +9,11 @@ from loomgraph.operators import tfidf as tv
 from loomgraph.plans import sql_text as S
 from loomgraph.plans import stages
 from loomgraph.plans.registry import register
-from loomgraph.sources.tables import read_table, spread
+from loomgraph.session import materialize
+from loomgraph.sources.tables import read_table
 
-MAX_DF = 20
+RARE_DF = 20  # a term held by so many documents at most proposes neighbours
+PER_DOC = 20  # candidates that are scored exactly
 K = 5
 
 
@@ -23,8 +25,15 @@ def doc_space(spark, sf_dir):
     """The document TF-IDF space, built once per query (its tables are
     written once; graph, index and queries share them)."""
     return stages.cached("doc_space", spark, sf_dir,
-                         lambda: tv.tfidf(good_docs(spark, sf_dir), "doc_id", "text", MAX_DF,
-                                          input_is_table=True))
+                         lambda: tv.tfidf(good_docs(spark, sf_dir), "doc_id", "text", input_is_table=True))
+
+
+def doc_pairs(spark, sf_dir):
+    """Directed candidate pairs of the document space with exact cosines."""
+    def build():
+        space = doc_space(spark, sf_dir)
+        return materialize(tv.pair_cosines(tv.candidates(space, RARE_DF, PER_DOC), space.vectors), "doc_pairs")
+    return stages.cached("doc_pairs", spark, sf_dir, build)
 
 
 def sql_space(corpus_cte: str, id_col: str = "doc_id") -> str:
@@ -34,7 +43,7 @@ toks AS (SELECT {id_col} AS id, unnest(regexp_extract_all(lower(text), {S.q(tv.T
 tf AS (SELECT id, term, count(*) AS tf FROM toks GROUP BY id, term),
 nd AS (SELECT count(*) AS n FROM corpus),
 voc AS (SELECT term, df, ln((n + 1.0) / (df + 1.0)) AS idf
-        FROM (SELECT term, count(*) AS df FROM tf GROUP BY term) d, nd WHERE df <= {MAX_DF}),
+        FROM (SELECT term, count(*) AS df FROM tf GROUP BY term) d, nd),
 w AS (SELECT id, term, tf * idf AS w FROM tf JOIN voc USING (term)),
 nrm AS (SELECT id, sqrt(sum(w * w)) AS nrm FROM w GROUP BY id),
 vec AS (SELECT id, term, w / nrm AS weight FROM w JOIN nrm USING (id) WHERE nrm > 0)"""
@@ -43,9 +52,18 @@ vec AS (SELECT id, term, w / nrm AS weight FROM w JOIN nrm USING (id) WHERE nrm
 DOC_SPACE_SQL = "WITH " + sql_space(f"""{S.clean_docs_cte()},
 corpus AS (SELECT doc_id, text FROM clean WHERE {S.good_line('text')})""")
 
-PAIRS_SQL = DOC_SPACE_SQL + """,
-pairs AS (SELECT a.id AS a, b.id AS b, sum(a.weight * b.weight) AS sim
-          FROM vec a JOIN vec b ON a.term = b.term AND a.id < b.id GROUP BY a.id, b.id)"""
+PAIRS_SQL = DOC_SPACE_SQL + f""",
+held AS (SELECT id, term, weight, df, row_number() OVER (PARTITION BY id ORDER BY df, term) AS r
+         FROM vec JOIN voc USING (term) WHERE df >= 2),
+part AS (SELECT p.id AS src, v.id AS dst, round(sum(p.weight * v.weight), 6) AS part
+         FROM held p JOIN vec v ON p.term = v.term AND p.id <> v.id
+         WHERE p.df <= {RARE_DF} OR p.r = 1 GROUP BY p.id, v.id),
+cands AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY part DESC, dst) AS r FROM part)
+          WHERE r <= {PER_DOC}),
+pairs AS (SELECT c.src, c.dst, round(sum(a.weight * b.weight), 6) AS sim
+          FROM cands c JOIN vec a ON a.id = c.src JOIN vec b ON b.id = c.dst AND b.term = a.term GROUP BY c.src, c.dst),
+knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS rnk FROM pairs)
+        WHERE rnk <= {K})"""
 
 
 @register("tfidf", sql=DOC_SPACE_SQL + """
@@ -56,20 +74,18 @@ def q_tfidf(spark, sf_dir):
 
 
 @register("tfidf_pairs", sql=PAIRS_SQL + """
-SELECT a, b, round(sim, 6) AS sim FROM pairs""")
+SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b, sim FROM pairs""")
 def q_tfidf_pairs(spark, sf_dir):
-    p = tv.pair_similarities(doc_space(spark, sf_dir).vectors)
-    return p.select("a", "b", F.round("sim", 6).alias("sim"))
+    """J2 (sparse): candidate pairs with their exact cosine."""
+    p = doc_pairs(spark, sf_dir)
+    return p.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "sim").distinct()
 
 
-@register("tfidf_knn", sql=PAIRS_SQL + f""",
-dirs AS (SELECT a AS src, b AS dst, round(sim, 6) AS sim FROM pairs
-         UNION ALL SELECT b AS src, a AS dst, round(sim, 6) AS sim FROM pairs),
-r AS (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS rnk FROM dirs)
-SELECT src, dst, sim, CAST(rnk AS BIGINT) AS rank FROM r WHERE rnk <= {K}""")
+@register("tfidf_knn", sql=PAIRS_SQL + """
+SELECT src, dst, sim, CAST(rnk AS BIGINT) AS rank FROM knn""")
 def q_tfidf_knn(spark, sf_dir):
-    p = tv.pair_similarities(doc_space(spark, sf_dir).vectors).withColumn("sim", F.round("sim", 6))
-    return tv.topk_neighbours(p, K).select("src", "dst", "sim", F.col("rank").cast("long"))
+    return (tv.topk_neighbours(doc_pairs(spark, sf_dir), K)
+            .select("src", "dst", "sim", F.col("rank").cast("long")))
 
 
 @register("query_vectors", sql=DOC_SPACE_SQL + """,

@@ -102,3 +102,9 @@ exploded AS (
 sents AS (
   SELECT doc_id, pos, {strip('piece')} AS sentence FROM exploded
   WHERE {strip('piece')} <> '' AND {good_line(strip('piece'))})"""
+
+
+def budget_cut(text: str, budget, nw: str = "nw") -> str:
+    """``text``, cut to the words left where the running count ``run`` passes ``budget``."""
+    return (f"CASE WHEN run <= {budget} THEN {text} ELSE "
+            f"array_to_string(({whitespace_tokens(text)})[1:CAST({budget} - (run - {nw}) AS BIGINT)], ' ') END")
