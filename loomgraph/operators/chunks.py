@@ -7,11 +7,8 @@ Order is always explicit: a sentence is ``(doc_id, pos)`` and a chunk is
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from loomgraph.functions import text as tx
 from loomgraph.session import ensure_checkpoint_dir
@@ -138,66 +135,60 @@ def reduction_target(total_tokens) -> F.Column:
 # ---------------------------------------------------------------- fuzzy dedup
 
 
-def indel_ratio(a: str, b: str) -> float:
-    """``2 * LCS / (len(a) + len(b))`` (indel similarity); 0 if either is empty.
-
-    LCS row by row: with ``c[j] = max(prev[j], prev[j-1] + [a_i == b_j])``
-    the new row is the running maximum of ``c`` (numpy, one pass per char)."""
-    la, lb = len(a), len(b)
-    if la == 0 or lb == 0:
-        return 0.0
-    bs = np.array([ord(ch) for ch in b], dtype=np.int64)
-    prev = np.zeros(lb + 1, dtype=np.int64)
-    c = np.zeros(lb + 1, dtype=np.int64)
-    for ch in a:
-        c[1:] = np.maximum(prev[1:], prev[:-1] + (bs == ord(ch)))
-        prev = np.maximum.accumulate(c)
-    return 2.0 * int(prev[-1]) / (la + lb)
-
-
-def _may_match(a: str, b: str, threshold: int) -> bool:
-    """Exact pre-test: LCS <= shared character counts, so a pair whose
-    character-multiset overlap is already too small cannot score above
-    ``threshold``."""
-    from collections import Counter
-    ca, cb = Counter(a), Counter(b)
-    bound = sum(min(n, cb[ch]) for ch, n in ca.items())
-    return 200.0 * bound / (len(a) + len(b)) > threshold
-
-
-def fuzz_score(a: str, b: str) -> int:
-    """Score as the reference prints it: ``round(100 * ratio)``, half to even."""
-    return int(round(100 * indel_ratio(a, b)))
-
-
-def dedup_sentences(text: str, threshold: int = 90) -> str:
-    """G5 for one text: split after . ? ! and whitespace, keep a sentence only
-    when no kept one scores above ``threshold`` (lower-cased); greedy in order."""
-    import re
-    kept: list[str] = []
-    kept_low: list[str] = []
-    for sent in re.split(r"(?<=[.?!])\s+", text):
-        if sent.strip() == "":
-            continue
-        low = sent.lower()
-        if any(_may_match(k, low, threshold) and fuzz_score(k, low) > threshold for k in kept_low):
-            continue
-        kept.append(sent)
-        kept_low.append(low)
-    return " ".join(kept)
-
-
-@F.pandas_udf(T.StringType())
-def dedup_sentences_udf(texts: pd.Series) -> pd.Series:
-    """Arrow-batched G5 over a column (a small per-row helper; the rows are
-    independent, so Spark spreads them over all tasks)."""
-    return texts.fillna("").map(dedup_sentences)
+def lcs_length(a, b) -> F.Column:
+    """Length of the longest common subsequence of two arrays: the rows of the
+    usual table by nested ``aggregate``, one row held at a time."""
+    width = F.size(b)
+
+    def row(prev, x):
+        def cell(acc, j):
+            grown = F.element_at(prev, j) + 1  # prev[j - 1] in a table with a leading zero
+            best = F.greatest(F.element_at(prev, j + 1), F.element_at(acc, -1))
+            return F.concat(acc, F.array(F.when(F.element_at(b, j) == x, grown).otherwise(best)))
+        return F.aggregate(F.sequence(F.lit(1), width), F.array(F.lit(0)), cell)
+
+    last = F.aggregate(a, F.array_repeat(F.lit(0), width + 1), row)
+    return F.when((F.size(a) == 0) | (width == 0), F.lit(0)).otherwise(F.element_at(last, -1))
+
+
+def characters(t) -> F.Column:
+    return F.regexp_extract_all(t, F.lit("(?s)."), 0)
+
+
+def score_above(a, b, threshold: int) -> F.Column:
+    """Whether G7's score of two texts, ``round(100 * ratio)`` with halves to
+    even, exceeds ``threshold``; ``ratio`` is ``(n - D) / n`` for total length
+    ``n`` and indel distance ``D = n - 2 * LCS``.
+
+    ``lev <= D <= 2 * lev`` settles nearly all pairs by the built-in
+    ``levenshtein``; only pairs between the bounds need the exact LCS."""
+    n = F.length(a) + F.length(b)
+    lev = F.levenshtein(a, b)
+    bound = (199 - 2 * threshold) * n  # 200 * D below it: the score is above; at it: the half goes to even
+
+    def above(d):
+        return (200 * d < bound) if threshold % 2 == 0 else (200 * d <= bound)
+    exact = n - 2 * lcs_length(characters(a), characters(b))
+    return F.when(n == 0, F.lit(False)).when(~above(lev), F.lit(False)).when(above(2 * lev), F.lit(True)).otherwise(
+        above(exact))
+
+
+def dedup_sentences(text, threshold: int = 90) -> F.Column:
+    """G5 as a Column: the pieces after . ? ! in order, without blank ones and
+    without those that score above ``threshold`` (lower-cased) against a piece
+    already taken; joined by a space."""
+    pieces = F.filter(tx.sentence_split(text), lambda p: tx.strip(p) != F.lit(""))
+
+    def take(taken, piece):
+        again = F.exists(taken, lambda t: score_above(F.lower(t), F.lower(piece), threshold))
+        return F.when(again, taken).otherwise(F.concat(taken, F.array(piece)))
+    return F.array_join(F.aggregate(pieces, F.array().cast("array<string>"), take), " ")
 
 
 def clean_summaries(df: DataFrame, text: str = "summary") -> DataFrame:
     """T4: P4 -> G5 -> F2; rows that fail F2 are dropped."""
     fixed = df.withColumn(text, tx.summary_fix(F.coalesce(F.col(text), F.lit(""))))
-    deduped = fixed.withColumn(text, dedup_sentences_udf(F.col(text)))
+    deduped = fixed.withColumn(text, dedup_sentences(F.col(text)))
     return deduped.where(tx.good_summary(text, stripped=False))
 
 

@@ -37,10 +37,6 @@ _TILE_SCHEMA = T.StructType([
 ])
 
 
-def _blocks(n: int, block_rows: int, min_blocks: int) -> int:
-    return max(1, min(max(min_blocks, math.ceil(n / block_rows)), max(1, n)))
-
-
 def _tile_fn(k: int, metric: str, exclude_self: bool):
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
@@ -53,9 +49,9 @@ def _tile_fn(k: int, metric: str, exclude_self: bool):
         a = np.stack(left["v"].to_numpy()).astype(np.float64, copy=False)
         b = np.stack(right["v"].to_numpy()).astype(np.float64, copy=False)
         if metric == COSINE:
-            s = a @ b.T
+            s = np.round(a @ b.T, 6)
         else:  # negative squared distance so that larger is better
-            s = -((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T))
+            s = -np.round((a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T), 6)
         if exclude_self:
             s[lid[:, None] == rid[None, :]] = -np.inf
         kk = min(k, b.shape[0])
@@ -70,13 +66,13 @@ def _tile_fn(k: int, metric: str, exclude_self: bool):
             # exact distance for the kept pairs (no expansion round-off)
             li = np.repeat(np.arange(len(lid)), kk).reshape(-1, kk)[keep]
             diff = a[li] - b[order[keep]]
-            score = -(diff * diff).sum(1)
+            score = -np.round((diff * diff).sum(1), 6)
         return pd.DataFrame({"src": src, "dst": dst, "score": score})
     return run
 
 
 def topk_join(left: DataFrame, right: DataFrame, k: int, metric: str = COSINE,
-              exclude_self: bool = False, block_rows: int = 1024,
+              exclude_self: bool = False, block_rows: int = 256,
               left_id: str = "id", left_vec: str = "v",
               right_id: str = "id", right_vec: str = "v") -> DataFrame:
     """For every left row, the ``k`` best right rows.
@@ -86,18 +82,15 @@ def topk_join(left: DataFrame, right: DataFrame, k: int, metric: str = COSINE,
     distance (``metric='sqeuclidean'``, lower first). Ties go to the smaller
     ``dst``. With ``exclude_self`` a row never pairs with its own id.
     """
-    spark = left.sparkSession
     if metric == COSINE:
         lv, rv = l2_normalize(left_vec), l2_normalize(right_vec)
     else:
         lv, rv = as_double(left_vec), as_double(right_vec)
     lsel = left.select(F.col(left_id).cast("long").alias("id"), lv.alias("v"))
     rsel = right.select(F.col(right_id).cast("long").alias("id"), rv.alias("v"))
-    n_left, n_right = lsel.count(), rsel.count()
-    par = spark.sparkContext.defaultParallelism
-    min_blocks = max(1, math.ceil(math.sqrt(2 * par)))
-    bl = _blocks(n_left, block_rows, min_blocks)
-    br = _blocks(n_right, block_rows, min_blocks)
+    n_left = left.count()
+    bl = max(1, math.ceil(n_left / block_rows))
+    br = bl if right is left else max(1, math.ceil(right.count() / block_rows))
 
     def blk(n):
         return F.pmod(F.xxhash64(F.col("id")), F.lit(n)).cast("int")
@@ -117,7 +110,7 @@ def topk_join(left: DataFrame, right: DataFrame, k: int, metric: str = COSINE,
 
 
 def knn_edges(vectors: DataFrame, k: int, id_col: str = "vec_id",
-              vec_col: str = "embedding", block_rows: int = 1024) -> DataFrame:
+              vec_col: str = "embedding", block_rows: int = 256) -> DataFrame:
     """Directed top-k cosine neighbours of every vector, self excluded by id
     (W1, fixes D7). Returns ``(src, dst, sim, rank)``; ``sim`` rounded to 6."""
     e = topk_join(vectors, vectors, k, COSINE, exclude_self=True, block_rows=block_rows,
@@ -152,13 +145,16 @@ def pair_sample(vectors: DataFrame, n: int = 5, id_col: str = "vec_id",
 
 
 def align_by_key(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """1:1 equi-join that fails loudly when either side has unmatched keys
-    (J1). The reference aligns by row position and asserts equal counts; we
-    align by key and count the rows without a partner on both sides."""
-    l_keys = left.select(key)
-    r_keys = right.select(key)
-    missing = (l_keys.join(r_keys, key, "left_anti").count()
-               + r_keys.join(l_keys, key, "left_anti").count())
-    if missing:
-        raise ValueError(f"{missing} rows have no partner on '{key}'")
+    """1:1 equi-join that fails loudly when a key is missing on either side or
+    occurs twice (J1, J8). The reference aligns by row position and asserts
+    equal counts; here one full outer join of the key counts of both sides
+    finds every fault."""
+    def counted(df, name):
+        return df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    both = counted(left, "_l").join(counted(right, "_r"), key, "full")
+    faults = both.agg(
+        F.count_if(F.col("_l").isNull() | F.col("_r").isNull()).alias("missing"),
+        F.count_if((F.coalesce("_l", F.lit(1)) > 1) | (F.coalesce("_r", F.lit(1)) > 1)).alias("twice")).first()
+    if faults.missing or faults.twice:
+        raise ValueError(f"'{key}': {faults.missing} keys have no partner, {faults.twice} occur more than once")
     return left.join(right, key, "inner")

@@ -84,7 +84,7 @@ def q_fuzzy_dedup_in_text(spark, sf_dir):
     """G5 on every chunk text: ``(doc_id, chunk, text)`` with near-repeated
     sentences removed (rows-only oracle; unit-tested against brute force)."""
     c = doc_chunks(spark, sf_dir)
-    return c.select("doc_id", "chunk", ch.dedup_sentences_udf("text").alias("text"))
+    return c.select("doc_id", "chunk", ch.dedup_sentences(F.coalesce(F.col("text"), F.lit(""))).alias("text"))
 
 
 @register("clean_summaries")

@@ -16,6 +16,7 @@ from loomgraph.plans import q_condense, q_sparse
 from loomgraph.plans import sql_text as S
 from loomgraph.plans import stages
 from loomgraph.plans.registry import register
+from loomgraph.session import materialize
 from loomgraph.sources.tables import read_table, spread
 
 K_RET = 5
@@ -206,7 +207,7 @@ def q_truncate_tokens(spark, sf_dir):
                     rt.truncate_tokens(F.col("prompt"), PROMPT_TOKENS).alias("truncated"))
 
 
-@register("answer", sql=RET_SQL + f""",
+ANSWER_SQL = RET_SQL + f""",
 {S.sentences_cte()},
 cand AS (SELECT rr.query, n.id AS doc_id FROM rr JOIN nodes n ON n.community = rr.id),
 stf AS (SELECT doc_id, pos, term, count(*) AS tf FROM
@@ -225,7 +226,10 @@ ar AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_
 ans AS (SELECT query, string_agg({S.budget_cut('sentence', ANSWER_BUDGET)}, ' ' ORDER BY rk) AS answer FROM ar
         WHERE run - nw < {ANSWER_BUDGET} GROUP BY query)
 SELECT b.item_id AS query, coalesce(answer, '{NO_SUMMARY}') AS answer
-FROM benchmark b LEFT JOIN ans ON ans.query = b.item_id""")
+FROM benchmark b LEFT JOIN ans ON ans.query = b.item_id"""
+
+
+@register("answer", sql=ANSWER_SQL)
 def q_answer(spark, sf_dir):
     """M7 (extractive, T6 end to end): an answer of at most 150 words per
     benchmark query from the retrieved communities' sentences."""
@@ -236,6 +240,24 @@ def q_answer(spark, sf_dir):
     return rt.answer(bench.select(F.col("item_id").alias("query")), qv, rr, members, sents, space, ANSWER_BUDGET)
 
 
+_ANSWERS_CTE = ANSWER_SQL[:ANSWER_SQL.index("SELECT b.item_id AS query, coalesce(answer")] + f"""
+, rpairs AS (SELECT b.item_id AS query, coalesce(answer, '{NO_SUMMARY}') AS pred, coalesce(b.text, '') AS ref
+           FROM benchmark b LEFT JOIN ans ON ans.query = b.item_id)"""
+
+
+@register("answer_scores", sql=rouge_sql(_ANSWERS_CTE, ["query"], 1) + """
+SELECT query, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS fmeasure FROM rscore""")
+def q_answer_scores(spark, sf_dir):
+    """V6 + J8: every answer against its reference text, aligned by key with
+    the counts checked on both sides."""
+    from loomgraph.operators import simjoin
+    got = materialize(q_answer(spark, sf_dir), "answers")
+    refs = read_table(spark, sf_dir, "benchmark").select(
+        F.col("item_id").alias("query"), F.coalesce("text", F.lit("")).alias("ref"))
+    pairs_ = simjoin.align_by_key(got.withColumnRenamed("answer", "pred"), refs, "query")
+    return rounded(rg.rouge_n(pairs_, ["query"], "pred", "ref", 1), ["query"])
+
+
 # ------------------------------------------------------------ training data
 
 PAIRS_SQL = """WITH c AS (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text,

@@ -100,5 +100,5 @@ def q_modularity_fixed_labels(spark, sf_dir):
 @register("louvain")
 def q_louvain(spark, sf_dir):
     """Louvain communities of the kNN graph, ``(id, community)``."""
-    und, _ = graph_and_labels(spark, sf_dir)
-    return louvain(und)
+    und, labels = graph_and_labels(spark, sf_dir)
+    return louvain(und, labels.select("id"))

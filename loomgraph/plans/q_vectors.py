@@ -26,7 +26,7 @@ unit AS (
 SQL_KNN = f"""
 WITH {SQL_UNIT},
 pairs AS (
-  SELECT a.id AS src, b.id AS dst, list_dot_product(a.u, b.u) AS s
+  SELECT a.id AS src, b.id AS dst, round(list_dot_product(a.u, b.u), 6) AS s
   FROM unit a JOIN unit b ON a.id <> b.id),
 ranked AS (
   SELECT src, dst, s, row_number() OVER (PARTITION BY src ORDER BY s DESC, dst) AS rnk

@@ -36,11 +36,44 @@ def test_length_budget(spark):
     assert got == [(30, 18), (40, 24), (80, 48), (512, 491), (512, 491)]
 
 
-def test_fuzzy_dedup():
-    assert ch.dedup_sentences("The cat sat on the mat. The cat sat on the mat! A dog ran.") == \
-        "The cat sat on the mat. A dog ran."
-    assert ch.fuzz_score("the cat sat on the mat.", "the cat sat on the mat!") == 96
-    assert ch.fuzz_score("the cat sat on the mat.", "a dog ran.") == 36
+def indel(a, b):
+    prev = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row = [i]
+        for j, y in enumerate(b, 1):
+            row.append(prev[j - 1] if x == y else 1 + min(prev[j], row[-1]))
+        prev = row
+    return prev[-1]
+
+
+def test_fuzzy_dedup(spark):
+    import random
+
+    from pyspark.sql import functions as F
+    rng = random.Random(2)
+    base = ["the cat sat on the mat", "a dog ran over the long hill", "rain fell in the old town all night long"]
+
+    def edited(s):
+        s = list(s)
+        for _ in range(rng.randrange(5)):
+            s[rng.randrange(len(s))] = rng.choice("abcdeXY ")
+        return "".join(s).strip() + rng.choice(".!?")
+    texts = ["The cat sat on the mat. The cat sat on the mat! A dog ran.", "", "  ", "One."]
+    texts += [" ".join(edited(rng.choice(base)) for _ in range(rng.randrange(1, 7))) for _ in range(60)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    got = {r.i: r.d for r in rows.select("i", ch.dedup_sentences(F.col("t")).alias("d")).collect()}
+    import re
+    for i, t in enumerate(texts):
+        kept = []
+        for s in re.split(r"(?<=[.?!])\s+", t):
+            low = s.lower()
+            if s.strip() and not any(
+                    round(100 * (len(k) + len(low) - indel(k, low)) / (len(k) + len(low))) > 90 for k in map(str.lower, kept)):
+                kept.append(s)
+        assert got[i] == " ".join(kept), t
+    pairs = spark.createDataFrame([("the cat sat on the mat.", "the cat sat on the mat!"), ("abc", "xyz"), ("", "")], "a string, b string")
+    above = [tuple(r) for r in pairs.select(ch.score_above(F.col("a"), F.col("b"), 95), ch.score_above(F.col("a"), F.col("b"), 96)).collect()]
+    assert above == [(True, False), (False, False), (False, False)]
 
 
 def test_rouge_fixture(spark):
