@@ -1,9 +1,10 @@
 """Toxic spans by a linear-chain conditional random field.
 
 Labels come per document, so tokens are labelled first: a word, or one of its
-prefixes, whose documents are toxic far more often than chance allows (a
-likelihood ratio test, corrected for the number of features tried) marks its
-tokens in toxic documents; every other token is clean. A two-state CRF over
+prefixes, that stands in toxic documents far more often than chance allows (a
+likelihood ratio test over distinct contexts, so copies count once, corrected
+for the number of features tried) marks its tokens in toxic documents; every
+other token is clean. A two-state CRF over
 chains of up to ``CHAIN`` consecutive words is then trained on those labels,
 with hashed features of the word, its prefixes and its suffix. At scoring
 time forward-backward marginals give each word its probability of being
@@ -30,7 +31,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CHAIN = 256          # words in a chain
-CELLS = 1 << 18      # hashed feature weights
+CELLS = 1 << 21      # hashed feature weights: far more than features, so few share one
 PREFIXES = (3, 4, 5, 6)
 WORDS_CACHED = 400_000
 EDGES = "".join(chr(c) for c in range(0x21, 0x7F) if not chr(c).isalnum())
@@ -75,18 +76,34 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, toxic_docs: int =
     return [(r.text, r.y) for r in rows[:toxic_docs + clean_docs]], sizes
 
 
-def toxic_features(sets: list[set[str]], ys: list[int]) -> set[str]:
-    """Features whose documents are toxic beyond chance."""
-    seen = {0: Counter(), 1: Counter()}
-    for s, y in zip(sets, ys):
-        seen[y].update(s)
-    share = np.clip(np.mean(ys), 1e-6, 1 - 1e-6) if ys else 0.5
-    bar = np.log(len(seen[1]) + 1) + np.log(10)
+def contexts(ids: list[np.ndarray], words: int) -> np.ndarray:
+    """How often each word stands between two words it was not seen between
+    before: copies and near copies of a document add nothing."""
+    if not sum(map(len, ids)):
+        return np.zeros(words, np.int64)
+    cur = np.concatenate(ids) + 1
+    before = np.concatenate([np.append(0, x[:-1] + 1)[:len(x)] for x in ids])
+    after = np.concatenate([np.append(x[1:] + 1, 0)[-len(x):] if len(x) else x for x in ids])
+    v = words + 1
+    seen = np.unique((before * v + cur) * v + after)
+    return np.bincount(seen // v % v - 1, minlength=words)
+
+
+def toxic_features(words: list[str], toxic: np.ndarray, clean: np.ndarray) -> set[str]:
+    """Features whose words' contexts lie in toxic documents beyond chance,
+    and nearly always; ``toxic`` and ``clean`` count the contexts per word."""
+    seen: tuple[Counter, Counter] = (Counter(), Counter())
+    for w, a, b in zip(words, toxic.tolist(), clean.tolist()):
+        for f in features(w):
+            seen[0][f] += b
+            seen[1][f] += a
+    share = np.clip(toxic.sum() / max(1, toxic.sum() + clean.sum()), 1e-6, 1 - 1e-6)
+    bar = np.log(len(seen[1]) + 1) + np.log(100)
     out = set()
     for f, a in seen[1].items():
         b = seen[0][f]
-        if a >= 0.9 * (a + b):
-            n = a + b
+        n = a + b
+        if a and a >= 0.9 * n:
             g = a * np.log(a / (n * share)) + (b * np.log(b / (n * (1 - share))) if b else 0)
             if g >= bar:
                 out.add(f)
@@ -205,7 +222,7 @@ def train(rows: list[tuple[str, int]], sizes: dict[int, int], rounds: int = 40)
            for text, _ in rows]
     ys = [y for _, y in rows]
     words = list(vocab)
-    toxic = toxic_features([{f for k in set(x.tolist()) for f in features(words[k])} for x in ids], ys)
+    toxic = toxic_features(words, *(contexts([x for x, y in zip(ids, ys) if y == label], len(words)) for label in (1, 0)))
     marked = np.array([any(f in toxic for f in features(w)) for w in words], dtype=bool)
     weights, bias, trans = np.zeros(CELLS), -3.0, np.zeros((2, 2))
     total = sum(map(len, ids))
