@@ -130,8 +130,8 @@ def usable(v: Column) -> Column:
     return v.isNotNull() & ~bad & F.exists(v, lambda e: e != 0)
 
 
-def nearest(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = 16_384, degree: int = 48,
-            build_beam: int = 96, beam: int = 320, alpha: float = 1.2, query_block: int = 2_048,
+def nearest(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = 16_384, degree: int = 40,
+            build_beam: int = 80, beam: int = 192, alpha: float = 1.2, query_block: int = 2_048,
             id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` nearest by cosine found for
     each query, all candidates if fewer; ties go to the smaller id.

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CHAIN = 256          # words in a chain
+CHAIN = 128          # words in a chain
 CELLS = 1 << 21      # hashed feature weights: far more than features, so few share one
 PREFIXES = (3, 4, 5, 6)
 WORDS_CACHED = 400_000
@@ -42,13 +41,10 @@ def word(token: str) -> str:
     return token.strip(EDGES).lower()
 
 
-def features(w: str) -> list[str]:
-    return [f"w{w}", *(f"p{w[:n]}" for n in PREFIXES if len(w) >= n)]
-
-
 def cells(w: str) -> list[int]:
-    """Fixed-length list of the word's weight cells (cell 0 is unused padding)."""
-    own = [*features(w), f"s{w[-3:]}"]
+    """Weight cells of the word's suffix, of the word itself and of its
+    prefixes (cell 0 is unused padding)."""
+    own = [f"s{w[-3:]}", f"w{w}", *(f"p{w[:n]}" for n in PREFIXES if len(w) >= n)]
     ids = [1 + zlib.crc32(f.encode()) % (CELLS - 1) for f in own]
     return ids + [0] * (len(PREFIXES) + 2 - len(ids))
 
@@ -89,25 +85,21 @@ def contexts(ids: list[np.ndarray], words: int) -> np.ndarray:
     return np.bincount(seen // v % v - 1, minlength=words)
 
 
-def toxic_features(words: list[str], toxic: np.ndarray, clean: np.ndarray) -> set[str]:
-    """Features whose words' contexts lie in toxic documents beyond chance,
-    and nearly always; ``toxic`` and ``clean`` count the contexts per word."""
-    seen: tuple[Counter, Counter] = (Counter(), Counter())
-    for w, a, b in zip(words, toxic.tolist(), clean.tolist()):
-        for f in features(w):
-            seen[0][f] += b
-            seen[1][f] += a
+def toxic_words(of: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> np.ndarray:
+    """Words with a cell (the word's own or a prefix's) whose contexts lie in
+    toxic documents beyond chance, and nearly always; ``of`` has the cells and
+    ``toxic`` and ``clean`` count the contexts of each word."""
+    named = of[:, 1:]
+    a, b = (np.bincount(named.ravel(), weights=np.repeat(n, named.shape[1]), minlength=CELLS) for n in (toxic, clean))
+    a[0] = b[0] = 0
     share = np.clip(toxic.sum() / max(1, toxic.sum() + clean.sum()), 1e-6, 1 - 1e-6)
-    bar = np.log(len(seen[1]) + 1) + np.log(100)
-    out = set()
-    for f, a in seen[1].items():
-        b = seen[0][f]
-        n = a + b
-        if a and a >= 0.9 * n:
-            g = a * np.log(a / (n * share)) + (b * np.log(b / (n * (1 - share))) if b else 0)
-            if g >= bar:
-                out.add(f)
-    return out
+    bar = np.log(np.count_nonzero(a) + 1) + np.log(100)
+    some = np.flatnonzero((a > 0) & (a >= 0.9 * (a + b)))
+    x, y = a[some], b[some]
+    g = x * np.log(x / ((x + y) * share)) + y * np.log(np.maximum(y, 1e-9) / ((x + y) * (1 - share)))
+    bad = np.zeros(CELLS, bool)
+    bad[some[g >= bar]] = True
+    return bad[named].any(axis=1)
 
 
 def recursions(e: np.ndarray, size: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -221,48 +213,47 @@ def train(rows: list[tuple[str, int]], sizes: dict[int, int], rounds: int = 40)
     ids = [np.array([vocab.setdefault(word(t), len(vocab)) for t in text.split()], dtype=np.int64)
            for text, _ in rows]
     ys = [y for _, y in rows]
-    words = list(vocab)
-    toxic = toxic_features(words, *(contexts([x for x, y in zip(ids, ys) if y == label], len(words)) for label in (1, 0)))
-    marked = np.array([any(f in toxic for f in features(w)) for w in words], dtype=bool)
-    weights, bias, trans = np.zeros(CELLS), -3.0, np.zeros((2, 2))
-    total = sum(map(len, ids))
-    if total and marked.any():
+    of = np.array([cells(w) for w in vocab], dtype=np.int64).reshape(len(vocab), len(PREFIXES) + 2)
+    counts = (contexts([x for x, y in zip(ids, ys) if y == label], len(vocab)) for label in (1, 0))
+    marked = toxic_words(of, *counts)
+    weights, bias, trans = np.zeros(CELLS, np.float32), -3.0, np.zeros((2, 2))
+    if marked.any():
+        used, of = np.unique(of, return_inverse=True)
+        of = of.reshape(len(vocab), -1)
         size, step, chain = chains([len(x) for x in ids])
         flat = np.concatenate(ids)
-        y = (marked[flat] & np.repeat(np.array(ys) == 1, [len(x) for x in ids])).astype(float)
-        of = np.array([cells(w) for w in words])
-        e = np.zeros((int(size.max()), len(size)))
-        gold = np.zeros_like(e)
+        y = marked[flat] & np.repeat(np.array(ys) == 1, [len(x) for x in ids])
+        e = np.zeros((int(size.max()), len(size)), np.float32)
+        gold = np.zeros(e.shape, bool)
         gold[step, chain] = y
         live = np.arange(len(e))[1:, None] < size[None, :]
         moves = np.array([[((gold[:-1] == i) & (gold[1:] == j) & live).sum() for j in (0, 1)] for i in (0, 1)])
-        mean = [np.zeros(CELLS), np.zeros(5)]
-        square = [np.zeros(CELLS), np.zeros(5)]
+        del gold
+        own, other = np.zeros(len(used)), np.array([bias, 0, 0, 0, 0])
+        moment = [[np.zeros(len(used)), np.zeros(len(used))], [np.zeros(5), np.zeros(5)]]
         for k in range(1, rounds + 1):
-            e[step, chain] = (weights[of].sum(axis=1) + bias)[flat]
+            trans = other[1:].reshape(2, 2)
+            e[step, chain] = (own[of].sum(axis=1) + other[0])[flat]
             fwd, bwd = recursions(e, size, trans)
             odds = fwd * bwd
-            p = (odds / (1 + odds))[step, chain]
+            diff = y - (odds / (1 + odds))[step, chain]
             a = np.exp(trans)
-            nxt = np.exp(np.clip(e[1:], -25, 25)) * bwd[1:]
-            pair = np.array([[np.full_like(nxt, a[0, 0]), a[0, 1] * nxt],
-                             [a[1, 0] * fwd[:-1], a[1, 1] * fwd[:-1] * nxt]])
-            pair /= pair.sum(axis=(0, 1))
-            expected = (pair * live).sum(axis=(2, 3))
-            diff = y - p
-            per_word = np.bincount(flat, weights=diff, minlength=len(words))
-            grad_w = np.bincount(of.ravel(), weights=np.repeat(per_word, of.shape[1]), minlength=CELLS) - 0.05 * weights
-            grad_w[0] = 0
-            grad_o = np.array([diff.sum(), *((moves - expected).ravel() - 0.05 * trans.ravel())])
-            step_of = []
-            for i, g in enumerate((grad_w, grad_o)):  # Adam
-                mean[i] = 0.9 * mean[i] + 0.1 * g
-                square[i] = 0.99 * square[i] + 0.01 * g * g
-                step_of.append(0.3 * (mean[i] / (1 - 0.9 ** k)) / (np.sqrt(square[i] / (1 - 0.99 ** k)) + 1e-8))
-            weights = weights + step_of[0]
-            bias += step_of[1][0]
-            trans = trans + step_of[1][1:].reshape(2, 2)
-    tagger = Tagger(weights.astype(np.float32), float(bias), trans, np.array([-4.0, 0.0, 0.0, 0.0]))
+            after = np.exp(np.clip(e[1:], -25, 25)) * bwd[1:]
+            scale = live / (a[0, 0] + a[0, 1] * after + fwd[:-1] * (a[1, 0] + a[1, 1] * after))
+            expected = np.array([[a[0, 0] * scale.sum(), a[0, 1] * (scale * after).sum()],
+                                 [a[1, 0] * (scale * fwd[:-1]).sum(), a[1, 1] * (scale * fwd[:-1] * after).sum()]])
+            del fwd, bwd, odds, after, scale
+            per_word = np.bincount(flat, weights=diff, minlength=len(vocab))
+            grad = np.bincount(of.ravel(), weights=np.repeat(per_word, of.shape[1]), minlength=len(used)) - 0.05 * own
+            grad[used == 0] = 0
+            for value, g, (mean, square) in (
+                    (own, grad, moment[0]),
+                    (other, np.array([diff.sum(), *((moves - expected).ravel() - 0.05 * trans.ravel())]), moment[1])):
+                mean += 0.1 * (g - mean)  # Adam
+                square += 0.01 * (g * g - square)
+                value += 0.3 * (mean / (1 - 0.9 ** k)) / (np.sqrt(square / (1 - 0.99 ** k)) + 1e-8)
+        weights[used], bias, trans = own, other[0], other[1:].reshape(2, 2)
+    tagger = Tagger(weights, float(bias), trans, np.array([-4.0, 0.0, 0.0, 0.0]))
     if rows and {y for _, y in rows} == {0, 1}:
         x = np.array([[1.0, *summary(p)] for p in tagger.marginals([t for t, _ in rows])])
         y = np.array([float(v) for _, v in rows])
