@@ -12,12 +12,14 @@ from loomgraph.operators import graph as g
 from loomgraph.operators import sentences as st
 from loomgraph.operators import simjoin
 from loomgraph.operators import tfidf as tv
+from loomgraph.operators.louvain import one_sweep
 from loomgraph.plans import q_sparse
 from loomgraph.plans import sql_text as S
 from loomgraph.plans import stages
 from loomgraph.plans.q_chunks import CHUNK_SIZE, CHUNKS_SQL
 from loomgraph.plans.registry import register
-from loomgraph.sources.tables import read_table, spread
+from loomgraph.session import materialize
+from loomgraph.sources.tables import read_table
 
 SUMMARY_BUDGET = 256
 
@@ -111,8 +113,29 @@ csum AS (SELECT c.community, CASE WHEN coalesce(trim(p.summary), '') = '' THEN '
          FROM (SELECT DISTINCT community FROM nodes) c LEFT JOIN cpick p USING (community))"""
 
 
-def community_summaries(spark, sf_dir):
-    nodes = doc_nodes(spark, sf_dir).checkpoint()
+def computed_nodes(spark, sf_dir):
+    """Good documents with communities computed on their own graph: one
+    Louvain sweep over the top-k TF-IDF graph of the same documents."""
+    def build():
+        good = stages.good_docs(spark, sf_dir)
+        labels = one_sweep(doc_graph(spark, sf_dir), good.select(F.col("doc_id").alias("id")))
+        return materialize(good.withColumnRenamed("doc_id", "id").join(labels, "id")
+                           .select("id", "community", tx.node_text("text").alias("text")), "nodes")
+    return stages.cached("computed_nodes", spark, sf_dir, build)
+
+
+COMPUTED_BODY = S.louvain_sweep(f"SELECT doc_id AS u FROM clean WHERE {S.good_line('text')}") + f""",
+nodes AS (SELECT c.doc_id AS id, s.c AS community, {S.node_text('c.text')} AS text
+          FROM clean c JOIN swept s ON s.u = c.doc_id WHERE {S.good_line('c.text')})"""
+
+
+def computed(sql: str) -> str:
+    """An oracle over ``source`` communities, over computed ones instead."""
+    return sql.replace(NODES_BODY, COMPUTED_BODY)
+
+
+def community_summaries(spark, sf_dir, nodes=None):
+    nodes = materialize(doc_nodes(spark, sf_dir), "nodes") if nodes is None else nodes
     und = doc_graph(spark, sf_dir)
     labels = nodes.select("id", "community")
     central = g.top_fraction(g.degree_centrality(und, labels)).join(nodes.select("id", "text"), "id")
@@ -132,6 +155,12 @@ def q_community_summary(spark, sf_dir):
     return community_summaries(spark, sf_dir)
 
 
+@register("community_summary_computed", sql=computed(COMMUNITY_SQL) + "\nSELECT community, summary FROM csum")
+def q_community_summary_computed(spark, sf_dir):
+    """M3 over computed communities."""
+    return community_summaries(spark, sf_dir, computed_nodes(spark, sf_dir))
+
+
 FLAT_PACK = 500
 FLAT_OUT = 256
 

@@ -123,9 +123,9 @@ def q_rouge_by_community(spark, sf_dir):
 
 # ------------------------------------------------------------- retrieval
 
-def retrieval(spark, sf_dir):
+def retrieval(spark, sf_dir, nodes=None):
     space = q_sparse.doc_space(spark, sf_dir)
-    summaries = q_condense.community_summaries(spark, sf_dir).checkpoint()
+    summaries = materialize(q_condense.community_summaries(spark, sf_dir, nodes), "summaries")
     index = rt.build_index(space, summaries, "community", "summary")
     bench = read_table(spark, sf_dir, "benchmark")
     qv = tv.embed_queries(space, bench, "item_id", "text")
@@ -172,8 +172,8 @@ def q_cosine_rerank(spark, sf_dir):
     return rt.cosine_rerank(retrieval(spark, sf_dir)[4], K_RERANK).withColumn("rerank", F.col("rerank").cast("long"))
 
 
-def contexts(spark, sf_dir):
-    space, summaries, bench, qv, hits = retrieval(spark, sf_dir)
+def contexts(spark, sf_dir, nodes=None):
+    space, summaries, bench, qv, hits = retrieval(spark, sf_dir, nodes)
     rr = rt.cosine_rerank(hits, K_RERANK)
     return space, bench, qv, rr, rt.context_text(rr, summaries)
 
@@ -233,8 +233,19 @@ FROM benchmark b LEFT JOIN ans ON ans.query = b.item_id"""
 def q_answer(spark, sf_dir):
     """M7 (extractive, T6 end to end): an answer of at most 150 words per
     benchmark query from the retrieved communities' sentences."""
-    space, bench, qv, rr, _ = contexts(spark, sf_dir)
-    nodes = q_condense.doc_nodes(spark, sf_dir)
+    return answers(spark, sf_dir, None)
+
+
+@register("answer_computed", sql=q_condense.computed(ANSWER_SQL))
+def q_answer_computed(spark, sf_dir):
+    """The whole flow over one set of documents: vectors, graph, computed
+    communities, their summaries, retrieval and answers."""
+    return answers(spark, sf_dir, q_condense.computed_nodes(spark, sf_dir))
+
+
+def answers(spark, sf_dir, nodes):
+    space, bench, qv, rr, _ = contexts(spark, sf_dir, nodes)
+    nodes = q_condense.doc_nodes(spark, sf_dir) if nodes is None else nodes
     members = nodes.select(F.col("community").alias("id"), F.col("id").alias("doc_id"))
     sents = stages.sentences(spark, sf_dir)
     return rt.answer(bench.select(F.col("item_id").alias("query")), qv, rr, members, sents, space, ANSWER_BUDGET)

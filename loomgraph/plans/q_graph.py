@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from loomgraph.functions import text as tx
 from loomgraph.operators import graph as g
 from loomgraph.operators import simjoin
-from loomgraph.operators.louvain import HASH_MOD, HASH_MULT, louvain, one_sweep
+from loomgraph.operators.louvain import louvain, one_sweep
 from loomgraph.plans import sql_text as S
 from loomgraph.plans.q_vectors import K_GRAPH, SQL_UNDIRECTED
 from loomgraph.plans.registry import register
@@ -97,33 +97,8 @@ def q_modularity_fixed_labels(spark, sf_dir):
     return g.modularity(und, labels)
 
 
-def sweep_sql(colours: int = 8) -> str:
-    """The rounds of one Louvain sweep as chained CTEs."""
-    sql = SQL_UNDIRECTED + f""",
-ew AS (SELECT src, dst, CAST(round(weight * 1e6) AS BIGINT) AS w FROM und),
-adj AS MATERIALIZED (SELECT src AS u, dst AS v, w FROM ew WHERE w > 0 UNION ALL SELECT dst, src, w FROM ew WHERE w > 0),
-deg AS MATERIALIZED (SELECT e.vec_id AS u, coalesce(a.k, 0) AS k, ((e.vec_id % {HASH_MOD}) * {HASH_MULT} % {HASH_MOD} // 65536) % {colours} AS col
-        FROM embeddings e LEFT JOIN (SELECT u, sum(w) AS k FROM adj GROUP BY u) a ON a.u = e.vec_id),
-m AS (SELECT sum(k) AS m2 FROM deg),
-l0 AS MATERIALIZED (SELECT u, u AS c FROM deg)"""
-    for r in range(colours):
-        sql += f""",
-tot{r} AS (SELECT c, sum(k) AS tot FROM l{r} JOIN deg USING (u) GROUP BY c),
-mv{r} AS (SELECT u, c AS own, k FROM l{r} JOIN deg USING (u) WHERE col = {r}),
-kin{r} AS (SELECT u, own, k, c, sum(kin) AS kin FROM (
-    SELECT mv.u, mv.own, mv.k, l.c, a.w AS kin FROM mv{r} mv JOIN adj a ON a.u = mv.u JOIN l{r} l ON l.u = a.v
-    UNION ALL SELECT u, own, k, own, 0 FROM mv{r}) GROUP BY u, own, k, c),
-best{r} AS (SELECT u, c FROM (
-    SELECT u, c, row_number() OVER (PARTITION BY u ORDER BY
-        CAST(m2 AS HUGEINT) * kin - CAST(k AS HUGEINT) * (tot - CASE WHEN c = own THEN k ELSE 0 END) DESC,
-        c = own DESC, c) AS rk
-    FROM kin{r} JOIN tot{r} USING (c), m) WHERE rk = 1),
-l{r + 1} AS MATERIALIZED (SELECT l.u, coalesce(b.c, l.c) AS c FROM l{r} l LEFT JOIN best{r} b USING (u))"""
-    return sql + f"""
-SELECT u AS id, c AS community FROM l{colours}"""
-
-
-@register("louvain_one_level", sql=sweep_sql())
+@register("louvain_one_level", sql=SQL_UNDIRECTED + ",\n" + S.louvain_sweep("SELECT vec_id AS u FROM embeddings") + """
+SELECT u AS id, c AS community FROM swept""")
 def q_louvain_one_level(spark, sf_dir):
     """N2, one sweep of the first level: the round the whole job repeats."""
     und, labels = graph_and_labels(spark, sf_dir)

@@ -108,3 +108,30 @@ def budget_cut(text: str, budget, nw: str = "nw") -> str:
     """``text``, cut to the words left where the running count ``run`` passes ``budget``."""
     return (f"CASE WHEN run <= {budget} THEN {text} ELSE "
             f"array_to_string(({whitespace_tokens(text)})[1:CAST({budget} - (run - {nw}) AS BIGINT)], ' ') END")
+
+
+def louvain_sweep(vertices: str, colours: int = 8) -> str:
+    """CTEs up to ``swept(u, c)``: one Louvain sweep over ``und(src, dst,
+    weight)`` and the vertices ``u`` of a query, a chain of CTEs per round."""
+    from loomgraph.operators.louvain import HASH_MOD, HASH_MULT
+    sql = f"""ew AS (SELECT src, dst, CAST(round(weight * 1e6) AS BIGINT) AS w FROM und),
+adj AS MATERIALIZED (SELECT src AS u, dst AS v, w FROM ew WHERE w > 0 UNION ALL SELECT dst, src, w FROM ew WHERE w > 0),
+deg AS MATERIALIZED (SELECT x.u, coalesce(a.k, 0) AS k, ((x.u % {HASH_MOD}) * {HASH_MULT} % {HASH_MOD} // 65536) % {colours} AS col
+        FROM ({vertices}) x LEFT JOIN (SELECT u, sum(w) AS k FROM adj GROUP BY u) a ON a.u = x.u),
+m AS (SELECT sum(k) AS m2 FROM deg),
+l0 AS MATERIALIZED (SELECT u, u AS c FROM deg)"""
+    for r in range(colours):
+        name = "swept" if r + 1 == colours else f"l{r + 1}"
+        sql += f""",
+tot{r} AS (SELECT c, sum(k) AS tot FROM l{r} JOIN deg USING (u) GROUP BY c),
+mv{r} AS (SELECT u, c AS own, k FROM l{r} JOIN deg USING (u) WHERE col = {r}),
+kin{r} AS (SELECT u, own, k, c, sum(kin) AS kin FROM (
+    SELECT mv.u, mv.own, mv.k, l.c, a.w AS kin FROM mv{r} mv JOIN adj a ON a.u = mv.u JOIN l{r} l ON l.u = a.v
+    UNION ALL SELECT u, own, k, own, 0 FROM mv{r}) GROUP BY u, own, k, c),
+best{r} AS (SELECT u, c FROM (
+    SELECT u, c, row_number() OVER (PARTITION BY u ORDER BY
+        CAST(m2 AS HUGEINT) * kin - CAST(k AS HUGEINT) * (tot - CASE WHEN c = own THEN k ELSE 0 END) DESC,
+        c = own DESC, c) AS rk
+    FROM kin{r} JOIN tot{r} USING (c), m) WHERE rk = 1),
+{name} AS MATERIALIZED (SELECT l.u, coalesce(b.c, l.c) AS c FROM l{r} l LEFT JOIN best{r} b USING (u))"""
+    return sql
