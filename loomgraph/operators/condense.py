@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import text as tx
 from loomgraph.operators import tfidf as tv
-from loomgraph.operators.chunks import length_budget, pack_assign
+from loomgraph.operators.chunks import length_budget, ordinal_in_group, pack_assign
 
 # Fixed value: text used when a group yields nothing to condense.
 NO_SUMMARY = "[No summary generated]"
@@ -90,14 +90,17 @@ def extractive_chunks(sentences: DataFrame, chunks: DataFrame, min_words: int =
 
 
 def community_texts(nodes: DataFrame, node: str = "id", community: str = "community",
-                    text: str = "text") -> DataFrame:
-    """A3 / V4 reference: all non-blank member texts of a community joined
-    by a space in member id order: ``(community, text, n_members)``."""
-    nb = nodes.where(tx.non_blank(text))
-    return nb.groupBy(community).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(node, text))), lambda x: x[text]),
-                     " ").alias("text"),
-        F.count(F.lit(1)).alias("n_members"))
+                    text: str = "text", part_members: int = 1000) -> DataFrame:
+    """A3 / V4 reference: the non-blank member texts of a community joined by
+    a space in member id order, in parts of ``part_members`` members:
+    ``(community, part, text, n_members)``. A community of any size is rows of
+    bounded length; one of up to ``part_members`` members is one row."""
+    nb = ordinal_in_group(nodes.where(tx.non_blank(text)).select(community, node, text), community, node)
+    return (nb.withColumn("part", F.floor(F.col("ordinal") / F.lit(part_members)).cast("long"))
+            .groupBy(community, "part").agg(
+                F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(node, text))), lambda x: x[text]),
+                             " ").alias("text"),
+                F.count(F.lit(1)).alias("n_members")))
 
 
 def community_summaries(central: DataFrame, labels: DataFrame, node: str = "id",

@@ -1,9 +1,9 @@
 """ROUGE evaluation as Spark jobs.
 
 Tokens follow the common ROUGE tokenizer: lower-case, runs of ``a-z0-9``
-(no stemming). ROUGE-N is an n-gram count join per pair: grams exploded,
-counted per (pair, gram), joined between prediction and reference and
-clipped with ``least``. ROUGE-L needs a longest common subsequence, which
+(no stemming). ROUGE-N of a pair is a multiset intersection of two arrays in
+its row; against a whole group of texts it is a join of counts per (group,
+gram). ROUGE-L needs a longest common subsequence, which
 runs in an Arrow-batched pandas UDF (numpy row-by-row LCS) per pair.
 """
 
@@ -38,20 +38,48 @@ def f_measure(p: Column, r: Column) -> Column:
     return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
 
 
+def numbered(grams: Column) -> Column:
+    """Each gram with its occurrence number, so that a set operation on the
+    result is a multiset operation on the grams."""
+    def label(s):
+        return F.transform(s, lambda x, i: F.concat_ws("#", x, (i + 1 - F.array_position(s, x)).cast("string")))
+    return F.transform(F.array(F.array_sort(grams)), label)[0]
+
+
+def scores(hit: Column, n_pred: Column, n_ref: Column) -> list[Column]:
+    p = F.when(n_pred > 0, hit / n_pred).otherwise(F.lit(0.0))
+    r = F.when(n_ref > 0, hit / n_ref).otherwise(F.lit(0.0))
+    return [p.alias("precision"), r.alias("recall"), f_measure(p, r).alias("fmeasure")]
+
+
 def rouge_n(pairs: DataFrame, key: list[str], pred: str, ref: str, n: int) -> DataFrame:
-    """Per pair ``(*key, precision, recall, fmeasure)`` for ROUGE-``n``."""
+    """Per pair ``(*key, precision, recall, fmeasure)`` for ROUGE-``n``. Both
+    texts sit in the row, so the clipped overlap is the size of a multiset
+    intersection of two arrays: no explode and no shuffle."""
     # tokens bound once per side (a lambda would re-run the regex per gram)
     t = pairs.select(*key, F.array(tokens(pred)).alias("tp"), F.array(tokens(ref)).alias("tr"))
     g = t.select(*key, F.transform("tp", lambda x: ngrams(x, n))[0].alias("gp"),
                  F.transform("tr", lambda x: ngrams(x, n))[0].alias("gr"))
-    sizes = g.select(*key, F.size("gp").alias("np"), F.size("gr").alias("nr"))
-    cp = g.select(*key, F.explode("gp").alias("gram")).groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("cp"))
-    cr = g.select(*key, F.explode("gr").alias("gram")).groupBy(*key, "gram").agg(F.count(F.lit(1)).alias("cr"))
-    overlap = cp.join(cr, [*key, "gram"]).groupBy(*key).agg(F.sum(F.least("cp", "cr")).alias("hit"))
-    s = sizes.join(overlap, key, "left").withColumn("hit", F.coalesce("hit", F.lit(0)))
-    p = F.when(F.col("np") > 0, F.col("hit") / F.col("np")).otherwise(F.lit(0.0))
-    r = F.when(F.col("nr") > 0, F.col("hit") / F.col("nr")).otherwise(F.lit(0.0))
-    return s.select(*key, p.alias("precision"), r.alias("recall"), f_measure(p, r).alias("fmeasure"))
+    s = g.select(*key, F.size("gp").alias("np"), F.size("gr").alias("nr"),
+                 F.size(F.array_intersect(numbered(F.col("gp")), numbered(F.col("gr")))).alias("hit"))
+    return s.select(*key, *scores(F.col("hit"), F.col("np"), F.col("nr")))
+
+
+def rouge_1_by_group(preds: DataFrame, members: DataFrame, key: str, pred: str, text: str) -> DataFrame:
+    """V4: ROUGE-1 of one prediction per ``key`` against all texts of that key,
+    from counts per (key, token): the group's text is never put together, so
+    its size does not matter. ``(key, precision, recall, fmeasure)`` for every
+    key of ``members``; a missing prediction counts as empty (J7)."""
+    def counts(df, col, name):
+        return df.select(key, F.explode(tokens(col)).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias(name))
+    cr = counts(members, text, "cr")
+    cp = counts(preds, pred, "cp")
+    both = cr.join(cp, [key, "gram"], "full").select(
+        key, F.coalesce("cr", F.lit(0)).alias("cr"), F.coalesce("cp", F.lit(0)).alias("cp"))
+    sums = both.groupBy(key).agg(F.sum("cr").alias("nr"), F.sum("cp").alias("np"), F.sum(F.least("cr", "cp")).alias("hit"))
+    out = members.select(key).distinct().join(sums, key, "left")
+    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+    return out.select(key, *scores(zero("hit"), zero("np"), zero("nr")))
 
 
 # ----------------------------------------------------------------- ROUGE-L

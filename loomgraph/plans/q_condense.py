@@ -79,8 +79,9 @@ NODES_SQL = f"{S.clean_docs_cte()},\n{NODES_BODY}"
 
 
 @register("community_texts", sql=f"""WITH {NODES_SQL}
-SELECT community, string_agg(text, ' ' ORDER BY id) AS text, count(*) AS n_members
-FROM nodes WHERE {S.strip('text')} <> '' GROUP BY community""")
+SELECT community, part, string_agg(text, ' ' ORDER BY id) AS text, count(*) AS n_members
+FROM (SELECT *, (row_number() OVER (PARTITION BY community ORDER BY id) - 1) // 1000 AS part FROM nodes
+      WHERE {S.strip('text')} <> '') GROUP BY community, part""")
 def q_community_texts(spark, sf_dir):
     return cd.community_texts(doc_nodes(spark, sf_dir))
 

@@ -112,13 +112,10 @@ rpairs AS (SELECT t.community, coalesce(s.summary, '') AS pred, t.text AS ref
 SELECT community, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS fmeasure FROM rscore""")
 def q_rouge_by_community(spark, sf_dir):
     """V4 + J7: each community's summary against all its member texts."""
-    from loomgraph.operators import condense as cd
-    nodes = q_condense.doc_nodes(spark, sf_dir)
-    refs = cd.community_texts(nodes).select("community", F.col("text").alias("ref"))
-    preds = q_condense.community_summaries(spark, sf_dir).select("community", F.col("summary").alias("prediction"))
-    pairs = rg.align_predictions(preds, refs, ["community"]).select(
-        "community", F.col("prediction").alias("pred"), "ref")
-    return rounded(rg.rouge_n(pairs, ["community"], "pred", "ref", 1), ["community"])
+    nodes = materialize(q_condense.doc_nodes(spark, sf_dir), "nodes")
+    preds = q_condense.community_summaries(spark, sf_dir, nodes).select("community", F.col("summary").alias("pred"))
+    refs = nodes.where(tx.non_blank("text")).select("community", "text")
+    return rounded(rg.rouge_1_by_group(preds, refs, "community", "pred", "text"), ["community"])
 
 
 # ------------------------------------------------------------- retrieval
