@@ -54,7 +54,7 @@ class Compressors:
     """One compressor per language. The length of naming the language itself
     (by its share of the rows) counts too; it decides between equal outputs."""
 
-    def __init__(self, dictionaries: dict[str, tuple[bytes, int]], level: int = 5):
+    def __init__(self, dictionaries: dict[str, tuple[bytes, int]], level: int = 6):
         import zstandard as zstd
 
         self.langs = sorted(dictionaries)

@@ -84,7 +84,22 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.size("spans").alias("n_spans"))
 
 
-@query("op3_substring_dedup")
+@query("op3_substring_dedup", sql=r"""
+WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+pos AS (SELECT doc_id, unnest(ws) AS word, generate_subscripts(ws, 1) AS p FROM w),
+win AS (SELECT doc_id, s AS p, array_to_string(ws[s:s + 19], ' ') AS k
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 18)) AS s FROM w WHERE len(ws) >= 20)),
+again AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY k ORDER BY doc_id, p) AS r FROM win)
+          WHERE r > 1),
+cover AS (SELECT pos.doc_id, pos.p, word,
+                 max(CASE WHEN a.p IS NULL THEN 0 ELSE 1 END) OVER (PARTITION BY pos.doc_id ORDER BY pos.p
+                     ROWS BETWEEN 19 PRECEDING AND CURRENT ROW) AS gone
+          FROM pos LEFT JOIN again a ON a.doc_id = pos.doc_id AND a.p = pos.p),
+kept AS (SELECT doc_id, CAST(sum(gone) AS BIGINT) AS n_removed,
+                string_agg(CASE WHEN gone = 0 THEN word END, ' ' ORDER BY p) AS t FROM cover GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)""")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
@@ -93,7 +108,21 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
-@query("op9_ngram_jaccard_join")
+@query("op9_ngram_jaccard_join", sql=r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                              'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (SELECT doc_id, CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 5 THEN [array_to_string(ws, ' ')]
+              ELSE list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' '))) END AS s
+       FROM w),
+ex AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM sh),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb, count(*) AS i
+           FROM ex a JOIN ex b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY ALL),
+link AS (SELECT a, b FROM common WHERE 100 * i >= 75 * (na + nb - i)),
+ends AS (SELECT a, b FROM link UNION ALL SELECT b, a FROM link),
+reach(d, r) AS (SELECT doc_id, doc_id FROM documents UNION SELECT reach.d, ends.b FROM reach JOIN ends ON reach.r = ends.a)
+SELECT sh.doc_id, CAST(len(s) AS BIGINT) AS n_shingles, c.component_id
+FROM sh JOIN (SELECT d, min(r) AS component_id FROM reach GROUP BY d) c ON c.d = sh.doc_id""")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     from loomgraph.llm.jaccard_join import jaccard_components
     return jaccard_components(table(spark, sf_dir, "documents"), words=5, percent=75)
