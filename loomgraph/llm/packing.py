@@ -30,7 +30,7 @@ from loomgraph.llm.caches import Cache
 from loomgraph.session import materialize
 
 WORDS, PIECES = 500_000, 600_000  # entries of the two caches
-PLAIN = re.compile("[!-~\u00c0-\u024f]+")  # marks and Latin letters in composed form
+PLAIN = re.compile("[\t-\r -~\u00c0-\u024f]*")  # blanks, marks and Latin letters in composed form
 HASHED, DIMS, BITS = 64, 4, 15    # vector width, projected width, bits a dimension
 
 
@@ -56,11 +56,11 @@ class WordBPE:
         self.kind = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
         self.fits = self._fits(spec)
         if self.fits:
-            self.special = tuple(t["content"] for t in spec["added_tokens"])
             self.cut = regex.compile(spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"])
             self.table = dict(enumerate(byte_table()))
             self.model = self.tokenizer.model
         self.words, self.pieces = Cache(self.word, WORDS), Cache(self.piece, PIECES)
+        self.others = Cache(self.other, WORDS // 10)
 
     @staticmethod
     def _fits(spec: dict) -> bool:
@@ -68,17 +68,17 @@ class WordBPE:
         cuts = (spec.get("pre_tokenizer") or {}).get("pretokenizers", [{}])
         return (steps == ["NFC", "Replace", "Lowercase"] and [c.get("type") for c in cuts] == ["Split", "ByteLevel"]
                 and cuts[0].get("behavior") == "Removed" and bool(cuts[0].get("invert"))
-                and not any(t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]))
+                and all(t["content"].startswith("<") and not t["lstrip"] and not t["rstrip"] for t in spec["added_tokens"]))
 
     def _ids(self, ids: list[int]) -> bytes:
         return array(self.kind.char, ids).tobytes()
 
     def word(self, word: bytes) -> bytes:
+        """A word of a plain text in lower case."""
         text = word.decode()
-        if not PLAIN.fullmatch(text) or "<" in text and any(s in text for s in self.special):
-            # other scripts, marks and special tokens: the library's own steps
-            return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return b"".join(map(self.pieces.__getitem__, self.cut.findall(text.lower())))
+        if text.isalpha():
+            return self.pieces[text]
+        return b"".join(map(self.pieces.__getitem__, self.cut.findall(text)))
 
     def piece(self, piece: str) -> bytes:
         chars = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.table)
@@ -89,8 +89,17 @@ class WordBPE:
             return np.empty(0, self.kind)
         if not self.fits:
             return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.kind)
-        # bytes.split cuts at ASCII blanks only
-        return np.frombuffer(b"".join(map(self.words.__getitem__, text.encode().split())), self.kind)
+        if "<" not in text and PLAIN.fullmatch(text):
+            words = text.lower().encode().split()  # cuts at ASCII blanks only
+            return np.frombuffer(b"".join(map(self.words.__getitem__, words)), self.kind)
+        return np.frombuffer(b"".join(map(self.others.__getitem__, text.encode().split())), self.kind)
+
+    def other(self, word: bytes) -> bytes:
+        """A word of a text with other scripts, marks or special tokens."""
+        text = word.decode()
+        if "<" not in text and PLAIN.fullmatch(text):
+            return self.words[text.lower().encode()]
+        return self._ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
 
 
 _MODELS: dict[str, WordBPE] = {}
