@@ -1,15 +1,21 @@
 """Removal of line blocks that an earlier document holds, by patience diff.
 
 Documents are sequences of line hashes (blanks at line ends stripped, blank
-lines left out). Two documents overlap when they share a *rare* line, one held
-by at most ``rare_df`` different documents, or two consecutive lines, however
-frequent; so copies of a page that a thousand documents hold are found by
-their line pairs, while one boilerplate line alone links nothing. For every
-such key each document is paired with the earliest document that holds it,
-which makes pairs linear in the number of lines instead of quadratic in the
-number of holders. Each pair is aligned by patience diff on the hashes, and
-the aligned lines go from the later document. The earliest holder of a line is
-never the later document of a pair on it, so no line disappears everywhere.
+lines left out). A line goes from a document when any earlier document that
+holds it aligns with it there; nothing is capped by how often a line occurs.
+Trying all earlier holders would cost the square of their number, so:
+
+1. Each document is aligned with the earliest holder of each of its lines and
+   of each pair of consecutive lines: pairs linear in the number of lines.
+   This settles nearly all lines.
+2. For a line left over, the earlier holders that share a second line with the
+   document are listed by both lines, and all of them are aligned.
+3. With any other holder the document shares that line alone, and the result
+   follows from where the line stands in the holder: its *shape*. Each shape
+   that an earlier holder has is aligned once.
+
+The first holder of a line is never the later document of a pair on it, so no
+line disappears everywhere.
 
 Equal sequences are one unit: its row with the smallest id is aligned like any
 other, and the others lose all lines. Only hashes move until the last join,
@@ -26,6 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.operators.chunks import ordinal_in_group
 from loomgraph.session import materialize
 
 BLANK_ENDS = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
@@ -80,7 +87,44 @@ def patience(a: list, b: list) -> list[int]:
     return sorted(out)
 
 
-def line_dedup(docs: DataFrame, rare_df: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def unaligned(named: DataFrame, hits: DataFrame, gone: DataFrame) -> DataFrame:
+    """``(u, key)``: lines of ``hits`` that stand at a position not in ``gone``."""
+    at = named.join(hits.select("u").distinct(), "u", "left_semi").select("u", F.posexplode("seq").alias("g", "key"))
+    return at.join(hits, ["u", "key"]).join(gone, ["u", "g"], "left_anti").select("u", "key").distinct()
+
+
+def others(named: DataFrame, hits: DataFrame, left: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """What the earlier holders of the lines ``left (u, key)`` can still align.
+
+    First ``(u, o)``: the holders that share another line with ``u``, too.
+    Then ``(u, key, shape)``: where ``key`` stands (``x``) between runs of
+    other lines (``-``) in an earlier holder that shares no other line.
+    """
+    shape = F.array_join(F.transform("seq", lambda x: F.when(x == F.col("key"), "x").otherwise("-")), "")
+    holders = materialize(
+        named.select("u", "seq", F.explode(F.array_distinct("seq")).alias("key"))
+        .join(left.select("key").distinct(), "key", "left_semi")
+        .select("key", F.col("u").alias("o"), F.regexp_replace(shape, "-+", "-").alias("shape"))
+        .withColumn("kind", F.xxhash64("key", "shape")), "line-holders")
+
+    second = left.join(hits.select("u", F.col("key").alias("y")), "u").where("y <> key")
+    lines_of = named.select(F.col("u").alias("o"), F.explode(F.array_distinct("seq")).alias("y"))
+    held = (holders.select("key", "o", "kind").join(lines_of, "o")
+            .join(second.select("key", "y").distinct(), ["key", "y"], "left_semi"))
+    listed = materialize(second.join(held, ["key", "y"]).where("o < u")
+                         .select("u", "key", "o", "kind").distinct(), "line-listed")
+
+    # of n + 1 earlier holders of a shape one at least is not among n listed ones
+    taken = listed.groupBy("u", "key", "kind").agg(F.count(F.lit(1)).alias("n"))
+    ranked = ordinal_in_group(holders, "kind", "o")
+    kinds = holders.select("key", "kind").distinct()
+    alone = (left.join(kinds, "key").join(taken, ["u", "key", "kind"], "left")
+             .select("u", "kind", F.coalesce("n", F.lit(0)).cast("long").alias("ordinal"))
+             .join(ranked, ["kind", "ordinal"]).where("o < u").select("u", "key", "shape"))
+    return listed.select("u", "o").distinct(), alone
+
+
+def line_dedup(docs: DataFrame, rare_df: int | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, n_lines, n_removed, text)`` per row: the remaining non-blank
     lines, as written, joined by newlines.
 
@@ -89,6 +133,9 @@ def line_dedup(docs: DataFrame, rare_df: int = 100, id_col: str = "doc_id", text
     a null id comes after all others. Lines repeated inside one document are
     not removed for that. Extra columns are ignored; an empty table gives no
     rows. Lines are compared by 64-bit hashes, whole, however long.
+
+    With ``rare_df`` only the first step is done, and a line held by more
+    documents links them by its pairs alone.
     """
     big = F.lit((1 << 63) - 1)
     hashed = F.transform(lines(F.col("t")), lambda x: F.xxhash64(F.regexp_replace(x, BLANK_ENDS, "")))
@@ -104,20 +151,36 @@ def line_dedup(docs: DataFrame, rare_df: int = 100, id_col: str = "doc_id", text
                lambda i: F.xxhash64(F.element_at("seq", i), F.element_at("seq", i + 1))))).alias("key"),
                F.lit(True).alias("pair")))
     keys = one.unionByName(two)
-    first = (keys.groupBy("key", "pair").agg(F.min("u").alias("o"), F.count(F.lit(1)).alias("df"))
-             .where((F.col("df") > 1) & (F.col("pair") | (F.col("df") <= rare_df))))
-    pairs = keys.join(first, ["key", "pair"]).where("u <> o").select("u", "o").distinct()
+    first = (keys.groupBy("key", "pair").agg(F.min("u").alias("o"), F.count(F.lit(1)).alias("df")).where("df > 1"))
+    if rare_df is not None:
+        first = first.where(F.col("pair") | (F.col("df") <= rare_df))
+    met = keys.join(first, ["key", "pair"]).where("u <> o").select("u", "key", "pair", "o")
 
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             gone = [patience(a, b) for a, b in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(gone, pa.list_(pa.int32()))], ["u", "gone"])
 
+    def positions(sides: DataFrame) -> DataFrame:
+        return sides.select("u", "a", "b").mapInArrow(align, "u long, gone array<int>").select("u", F.explode("gone").alias("g"))
+
     later = named.select("u", F.col("seq").alias("b"))
     earlier = named.select(F.col("u").alias("o"), F.col("seq").alias("a"))
-    gone = (pairs.join(later, "u").join(earlier, "o").select("u", "a", "b")
-            .mapInArrow(align, "u long, gone array<int>")
-            .select("u", F.explode("gone").alias("g")).groupBy("u").agg(F.collect_set("g").alias("gone")))
+    if rare_df is not None:
+        cut = positions(met.select("u", "o").distinct().join(later, "u").join(earlier, "o"))
+    else:
+        met = materialize(met, "line-met")
+        pairs = met.select("u", "o").distinct()
+        cut = materialize(positions(pairs.join(later, "u").join(earlier, "o")).distinct(), "line-aligned")
+        hits = met.where("NOT pair").select("u", "key")
+        left = materialize(unaligned(named, hits, cut), "line-left")
+        if left.limit(1).count():
+            listed, alone = others(named, hits, left)
+            more = positions(listed.join(pairs, ["u", "o"], "left_anti").join(later, "u").join(earlier, "o"))
+            # a null stands for lines that the later document does not hold
+            built = F.transform(F.split("shape", ""), lambda c: F.when(c == "x", F.col("key")))
+            cut = cut.unionByName(more).unionByName(positions(alone.withColumn("a", built).join(later, "u")))
+    gone = cut.groupBy("u").agg(F.collect_set("g").alias("gone"))
 
     # rows of a unit other than its first lose all lines
     units = named.select("unit", "seq", "u").join(gone, "u", "left")

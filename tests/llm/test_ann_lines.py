@@ -136,3 +136,45 @@ def test_line_dedup_real_and_empty(spark):
     assert line_dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
     null = spark.createDataFrame([(None, "a\nb"), (1, "a\nb")], "doc_id long, text string")
     assert sorted((str(r.doc_id), r.n_removed) for r in line_dedup(null).collect()) == [("1", 0), ("None", 2)]
+
+
+def all_pairs(rows):
+    """A line goes when any earlier document aligns with it."""
+    seqs = {}
+    for i, t in sorted(rows):
+        seqs.setdefault(tuple(x.strip() for x in t.split("\n") if x.strip()), i)
+    out = {}
+    for b, i in seqs.items():
+        out[i] = len({k for a, j in seqs.items() if j < i for k in patience(list(a), list(b))})
+    return out
+
+
+def whole(spark, rows):
+    got = line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    return {r.doc_id: r.n_removed for r in got}
+
+
+def test_line_held_by_many_documents(spark):
+    rows = [(i, f"own {i}\na passage that all of them hold\nmore {i}") for i in range(130)]
+    assert whole(spark, rows) == {i: int(i > 0) for i in range(130)}
+
+
+def test_later_holders_align_what_the_first_does_not(spark):
+    rows = [(1, "two\none"), (2, "one\nx\ntwo"), (3, "one\ny\ntwo")]
+    assert whole(spark, rows)[3] == 2
+
+
+def test_every_earlier_holder_counts(spark):
+    for seed in range(3):
+        rng = random.Random(seed)
+        rows = []
+        for i in range(400):
+            n = rng.randrange(1, 9)
+            rows.append((i, "\n".join(rng.choices(["=", "-", "*"] + [f"l{k}" for k in range(12)], k=n)
+                                     + [f"own {i}"] * rng.randrange(2))))
+        rows += [(400 + i, f"a{i}\n=\nb{i}\n=\nc{i}") for i in range(60)] + [(500, "=\nz"), (501, "=\nw\nv\n=")]
+        rng.shuffle(rows)
+        rows = [(i, t) for i, (_, t) in enumerate(rows)]
+        expected = all_pairs(rows)
+        got = whole(spark, rows)
+        assert {i: got[i] for i in expected} == expected
