@@ -29,6 +29,25 @@ def test_token_pack(spark, counts, expected):
     assert [r["n_tokens"] for r in out] == [sum(x) for x in expected]
 
 
+def test_packing_holds_no_group(spark):
+    import random
+    rng = random.Random(3)
+    rows, expected = [], {}
+    for doc, n in ((1, 400), (2, 1), (3, 37), (None, 5)):
+        chunk, used = -1, 0
+        for i in range(n):
+            words = rng.choice([0, 0, 1, 2, 3, 5, 6, 7, 11])
+            if chunk < 0 or (used + words > 6 and used > 0):
+                chunk, used = chunk + 1, 0
+            used += words
+            rows.append((doc, i, " ".join(["w"] * words)))
+            expected[doc, i] = chunk
+    rng.shuffle(rows)
+    out = ch.pack_assign(spark.createDataFrame(rows, "doc_id long, pos long, sentence string"), "doc_id", "pos", "sentence", 6)
+    assert {(r.doc_id, r.pos): r.chunk for r in out.collect()} == expected
+    assert "collect_list" not in out._jdf.queryExecution().toString()
+
+
 def test_length_budget(spark):
     df = spark.createDataFrame([(n,) for n in (20, 50, 100, 1024, 2000)], "n long")
     mx, mn = ch.length_budget("n")
