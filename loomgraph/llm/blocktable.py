@@ -101,7 +101,8 @@ def repeated_cells(table: DataFrame, grid: Grid, items) -> DataFrame:
         at = np.flatnonzero(np.diff(cell, prepend=~cell[:1]) != 0)
         count = np.minimum(np.diff(np.append(at, len(cell))), 255).astype(np.uint8)
         cell = cell[at]
-        return grid.by_range(block.column("_block")[0].as_py(), h[at],
+        # by the cell's first hash, so that a cell lies in one range for all blocks
+        return grid.by_range(block.column("_block")[0].as_py(), cell << np.uint64(64 - grid.bits),
                              lambda a, b: packed(gaps(cell[a:b]), count[a:b]))
 
     def merge(part: pa.Table) -> pa.Table:

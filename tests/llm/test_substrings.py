@@ -82,3 +82,17 @@ def test_words_of_blocks():
     assert w.whole(3).tolist() == [True, False, False, False, True]
     low = shingles.Words([b"A\xc3\x80 a\xc3\x80"], lower=True)
     assert low.hash[0] == low.hash[1]
+
+
+def test_a_cell_on_a_range_border_is_counted_once(spark):
+    import numpy as np
+
+    from loomgraph.llm.blocktable import Grid, repeated_cells
+    border = -(-(1 << 64) // 3)  # of ranges 0 and 1 of 3, inside a cell of 16 bits
+    table = spark.createDataFrame([(0,), (1,)], "_block int")
+
+    def items(block):
+        b = block.column("_block")[0].as_py()
+        return np.array([border - (1 << 33) if b == 0 else border + (1 << 33)], np.uint64)
+    found = repeated_cells(table, Grid(3, 16), items).collect()
+    assert sorted(r._block for r in found) == [0, 1] and len({r._range for r in found}) == 1
