@@ -64,16 +64,18 @@ def unescape_role(role: Column) -> Column:
 
 
 def run_machine(roles: Column, template: Template) -> Column:
-    """``struct(state, bad)`` after the roles: the last state (null after an
-    error) and the 0-based turn of the first error (null without one)."""
+    """``struct(state, at, bad)`` after the roles: the last state (empty from
+    the first error on), their number, and the 0-based turn of the first error
+    (-1 without one)."""
     def move(acc: Column, role: Column) -> Column:
-        to = F.lit(None).cast("string")
+        to = F.lit("")
         for (state, name), then in template.moves.items():
             to = F.when((acc["state"] == state) & (role == name), F.lit(then)).otherwise(to)
+        first = (acc["bad"] < 0) & (to == "")
         return F.struct(to.alias("state"), (acc["at"] + 1).alias("at"),
-                        F.when(acc["bad"].isNull() & to.isNull(), acc["at"]).otherwise(acc["bad"]).alias("bad"))
+                        F.when(first, acc["at"]).otherwise(acc["bad"]).alias("bad"))
 
-    begin = F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("at"), F.lit(None).cast("int").alias("bad"))
+    begin = F.struct(F.lit(template.start).alias("state"), F.lit(0).alias("at"), F.lit(-1).alias("bad"))
     return F.aggregate(roles, begin, move)
 
 
@@ -107,8 +109,8 @@ def format_chat(turns: DataFrame, template: Template = CHATML, id_col: str = "co
     return (whole.select("_id", F.flatten(F.transform("turns", lambda t: t["segments"])).alias("segments"), end.alias("end"))
             .select(F.col("_id").alias(id_col), "segments",
                     F.array_join(F.transform("segments", lambda s: s["text"]), "").alias("formatted"),
-                    F.coalesce(F.col("end.state").isin(*template.ends), F.lit(False)).alias("valid"),
-                    F.col("end.bad").alias("bad_turn")))
+                    F.col("end.state").isin(*template.ends).alias("valid"),
+                    F.when(F.col("end.bad") >= 0, F.col("end.bad")).alias("bad_turn")))
 
 
 def parse_chat(formatted: Column, template: Template = CHATML) -> Column:

@@ -72,7 +72,8 @@ def test_empty_and_single(spark):
 
 def test_lists_prune_without_loss():
     rng = np.random.default_rng(1)
-    v = np.floor(256 * rng.normal(size=(4000, 6))).astype(np.int64)
+    v = rng.normal(size=(4000, 6))
+    v = np.floor(256 * v / np.linalg.norm(v, axis=1, keepdims=True)).astype(np.int64)  # one bucket: similar lengths
     b = Bucket(np.arange(4000), np.arange(4000), np.zeros(4000, int), v)
     pruned = 0
     for q in v[:200]:
