@@ -1,16 +1,8 @@
-"""Sparse TF-IDF vectors in long form and sparse similarity joins.
+"""Sparse TF-IDF vectors in long form and sparse similarities.
 
 A vector is a set of rows ``(id, term, weight)`` over every term of its text.
-Weights are ``tf * ln((N + 1) / (df + 1))``, L2-normalised per id.
-
-Neighbours are found in two steps. *Candidates*: documents that share a rare
-term (2 to ``rare_df`` documents hold it), so a term proposes at most
-``rare_df`` partners per document whatever the corpus size; a document without
-a rare term uses its rarest shared term, however frequent. The candidates are
-ranked by what the proposing terms contribute and the best ``per_doc`` of each
-document go on, as ids. *Scores*: the exact cosine of those pairs over the
-whole vectors. Documents that share only frequent terms are far apart under
-these weights, and are not proposed.
+Weights are ``tf * ln((N + 1) / (df + 1))``, L2-normalised per id. Exact
+neighbours of these vectors: :mod:`loomgraph.operators.sparse_knn`.
 
 Joins against the vocabulary are left to Spark: AQE turns them into
 broadcast joins when the runtime size of the vocabulary is under the
@@ -47,7 +39,7 @@ def term_frequencies(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 @dataclass
 class SparseSpace:
     vectors: DataFrame  # (id, term, weight), unit length per id
-    vocabulary: DataFrame  # (term, df, idf)
+    vocabulary: DataFrame  # (term, tid, df, idf); tid numbers the terms
     n_docs: int
 
 
@@ -64,7 +56,8 @@ def tfidf(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     n_docs = docs.count()
     tf = materialize(term_frequencies(docs, id_col, text_col), "postings")
     vocab = (tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-             .withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0))))
+             .withColumn("idf", F.log((F.lit(n_docs) + 1.0) / (F.col("df") + 1.0)))
+             .withColumn("tid", F.monotonically_increasing_id()))
     vocab = materialize(vocab, "vocabulary")
     return SparseSpace(materialize(weigh(tf, vocab), "tfidf"), vocab, n_docs)
 
@@ -84,40 +77,9 @@ def embed_queries(space: SparseSpace, queries: DataFrame, id_col: str, text_col:
     return weigh(term_frequencies(queries, id_col, text_col), space.vocabulary)
 
 
-def candidates(space: SparseSpace, rare_df: int = 20, per_doc: int = 20) -> DataFrame:
-    """Directed candidate pairs ``(src, dst)``, at most ``per_doc`` per
-    ``src``, by shared rare terms (see the module)."""
-    held = space.vectors.join(space.vocabulary.where("df >= 2").select("term", "df"), "term")
-    by_rarity = Window.partitionBy("id").orderBy("df", "term")
-    # a document's first row is rare unless it has no rare term at all
-    probe = (held.withColumn("r", F.row_number().over(by_rarity))
-             .where((F.col("df") <= rare_df) | (F.col("r") == 1))
-             .select("term", F.col("id").alias("src"), F.col("weight").alias("ws")))
-    holders = space.vectors.select("term", F.col("id").alias("dst"), F.col("weight").alias("wd"))
-    part = (probe.join(holders, "term").where(F.col("src") != F.col("dst"))
-            .groupBy("src", "dst").agg(F.round(F.sum(F.col("ws") * F.col("wd")), 6).alias("part")))
-    best = Window.partitionBy("src").orderBy(F.col("part").desc(), F.col("dst"))
-    return part.withColumn("r", F.row_number().over(best)).where(F.col("r") <= per_doc).select("src", "dst")
-
-
-def pair_cosines(pairs: DataFrame, vectors: DataFrame) -> DataFrame:
-    """Exact cosine of listed pairs ``(src, dst)``, rounded to 6 places."""
-    a = vectors.select(F.col("id").alias("src"), "term", F.col("weight").alias("wa"))
-    b = vectors.select(F.col("id").alias("dst"), "term", F.col("weight").alias("wb"))
-    return (pairs.join(a, "src").join(b, ["dst", "term"])
-            .groupBy("src", "dst").agg(F.round(F.sum(F.col("wa") * F.col("wb")), 6).alias("sim")))
-
-
 def cross_similarities(left: DataFrame, right: DataFrame) -> DataFrame:
     """Cosine of every (left id, right id) sharing a term: ``(src, dst, sim)``."""
     p = left.select("term", F.col("id").alias("src"), F.col("weight").alias("wa"))
     q = right.select("term", F.col("id").alias("dst"), F.col("weight").alias("wb"))
     return (p.join(q, "term").groupBy("src", "dst")
             .agg(F.sum(F.col("wa") * F.col("wb")).alias("sim")))
-
-
-def topk_neighbours(pairs: DataFrame, k: int) -> DataFrame:
-    """Best ``k`` per ``src`` of directed pairs ``(src, dst, sim)``:
-    ``(src, dst, sim, rank)``, ties to the smaller ``dst``."""
-    w = Window.partitionBy("src").orderBy(F.col("sim").desc(), F.col("dst").asc())
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

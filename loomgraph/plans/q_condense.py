@@ -88,7 +88,7 @@ def q_community_texts(spark, sf_dir):
 
 def doc_graph(spark, sf_dir):
     """Undirected top-k TF-IDF graph of the good documents (N1, sparse J2)."""
-    return simjoin.undirected(tv.topk_neighbours(q_sparse.doc_pairs(spark, sf_dir), q_sparse.K), weight="sim")
+    return simjoin.undirected(q_sparse.doc_pairs(spark, sf_dir), weight="sim")
 
 
 COMMUNITY_SQL = q_sparse.PAIRS_SQL + f""",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomgraph.operators import sentences as st
+from loomgraph.operators import sparse_knn
 from loomgraph.operators import tfidf as tv
 from loomgraph.plans import sql_text as S
 from loomgraph.plans import stages
@@ -12,8 +13,6 @@ from loomgraph.plans.registry import register
 from loomgraph.session import materialize
 from loomgraph.sources.tables import read_table
 
-RARE_DF = 20  # a term held by so many documents at most proposes neighbours
-PER_DOC = 20  # candidates that are scored exactly
 K = 5
 
 
@@ -29,10 +28,9 @@ def doc_space(spark, sf_dir):
 
 
 def doc_pairs(spark, sf_dir):
-    """Directed candidate pairs of the document space with exact cosines."""
+    """The exact ``K`` nearest other documents of each: ``(src, dst, sim, rank)``."""
     def build():
-        space = doc_space(spark, sf_dir)
-        return materialize(tv.pair_cosines(tv.candidates(space, RARE_DF, PER_DOC), space.vectors), "doc_pairs")
+        return materialize(sparse_knn.topk_texts(doc_space(spark, sf_dir), good_docs(spark, sf_dir), K), "doc_pairs")
     return stages.cached("doc_pairs", spark, sf_dir, build)
 
 
@@ -53,16 +51,10 @@ DOC_SPACE_SQL = "WITH " + sql_space(f"""{S.clean_docs_cte()},
 corpus AS (SELECT doc_id, text FROM clean WHERE {S.good_line('text')})""")
 
 PAIRS_SQL = DOC_SPACE_SQL + f""",
-held AS (SELECT id, term, weight, df, row_number() OVER (PARTITION BY id ORDER BY df, term) AS r
-         FROM vec JOIN voc USING (term) WHERE df >= 2),
-part AS (SELECT p.id AS src, v.id AS dst, round(sum(p.weight * v.weight), 6) AS part
-         FROM held p JOIN vec v ON p.term = v.term AND p.id <> v.id
-         WHERE p.df <= {RARE_DF} OR p.r = 1 GROUP BY p.id, v.id),
-cands AS (SELECT src, dst FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY part DESC, dst) AS r FROM part)
-          WHERE r <= {PER_DOC}),
-pairs AS (SELECT c.src, c.dst, round(sum(a.weight * b.weight), 6) AS sim
-          FROM cands c JOIN vec a ON a.id = c.src JOIN vec b ON b.id = c.dst AND b.term = a.term GROUP BY c.src, c.dst),
-knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS rnk FROM pairs)
+pairs AS (SELECT a.id AS src, b.id AS dst, round(sum(a.weight * b.weight), 6) AS sim
+          FROM vec a JOIN vec b ON a.term = b.term AND a.id <> b.id GROUP BY a.id, b.id),
+knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY src ORDER BY sim DESC, dst) AS rnk
+                       FROM pairs WHERE sim > 0)
         WHERE rnk <= {K})"""
 
 
@@ -74,9 +66,9 @@ def q_tfidf(spark, sf_dir):
 
 
 @register("tfidf_pairs", sql=PAIRS_SQL + """
-SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b, sim FROM pairs""")
+SELECT DISTINCT least(src, dst) AS a, greatest(src, dst) AS b, sim FROM knn""")
 def q_tfidf_pairs(spark, sf_dir):
-    """J2 (sparse): candidate pairs with their exact cosine."""
+    """J2 (sparse) as pairs: each neighbouring pair once, with its cosine."""
     p = doc_pairs(spark, sf_dir)
     return p.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"), "sim").distinct()
 
@@ -84,8 +76,7 @@ def q_tfidf_pairs(spark, sf_dir):
 @register("tfidf_knn", sql=PAIRS_SQL + """
 SELECT src, dst, sim, CAST(rnk AS BIGINT) AS rank FROM knn""")
 def q_tfidf_knn(spark, sf_dir):
-    return (tv.topk_neighbours(doc_pairs(spark, sf_dir), K)
-            .select("src", "dst", "sim", F.col("rank").cast("long")))
+    return doc_pairs(spark, sf_dir).select("src", "dst", "sim", F.col("rank").cast("long"))
 
 
 @register("query_vectors", sql=DOC_SPACE_SQL + """,

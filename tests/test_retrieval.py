@@ -1,10 +1,12 @@
-"""Budgets, complete retrieval, answers and bounded candidates."""
+"""Budgets, complete retrieval, answers and exact sparse neighbours."""
+
+import random
 
 from pyspark.sql import functions as F
 
 from loomgraph.operators import condense as cd
 from loomgraph.operators import retrieve as rt
-from loomgraph.operators import simjoin
+from loomgraph.operators import simjoin, sparse_knn
 from loomgraph.operators import tfidf as tv
 
 
@@ -50,20 +52,38 @@ def test_every_query_gets_k_rows_and_an_answer(spark):
     assert got[2] == got[3] == cd.NO_SUMMARY
 
 
-def test_every_term_stays_and_candidates_are_bounded(spark):
-    texts = [f"the of common{i % 3} rare{i // 4} rare{i // 4}" for i in range(120)] + ["the common0"] * 5
-    space = space_of(spark, texts)
-    assert space.vectors.select("id").distinct().count() == len(texts)
-    assert space.vocabulary.where("term = 'the'").first().df == len(texts)
-    pairs = tv.candidates(space, rare_df=20, per_doc=6).collect()
-    per = {}
-    for p in pairs:
-        per.setdefault(p.src, set()).add(p.dst)
-    assert max(map(len, per.values())) <= 6 and set(per) == set(range(len(texts)))
-    assert all({j for j in range(120) if j // 4 == i // 4 and j != i} <= per[i] for i in range(120))
-    sims = {(p.src, p.dst): p.sim for p in tv.pair_cosines(spark.createDataFrame([(0, 1), (0, 3)], "src long, dst long"),
-                                                           space.vectors).collect()}
-    assert sims[(0, 3)] == 1.0 > sims[(0, 1)]
+def brute_neighbours(space, ids, k):
+    vec = {i: {} for i in ids}
+    for r in space.vectors.collect():
+        vec[r.id][r.term] = r.weight
+    out = {}
+    for i in ids:
+        sims = [(-round(sum(w * vec[j].get(t, 0.0) for t, w in vec[i].items()), 6), j) for j in ids if j != i]
+        out[i] = [(j, -s) for s, j in sorted(sims) if s < 0][:k]
+    return out
+
+
+def test_neighbours_are_exact_at_any_block_size(spark):
+    rng = random.Random(4)
+    texts = [" ".join(rng.choice(["the", "of", f"w{rng.randrange(60)}", f"r{rng.randrange(400)}"]) for _ in range(rng.randrange(1, 30)))
+             for _ in range(150)]
+    texts += [texts[3]] * 40 + [texts[7]] * 2 + ["the of", "the of", "the of the"] + ["alone once"] + ["...", ""]
+    order = list(range(len(texts)))
+    rng.shuffle(order)
+    frame = spark.createDataFrame([(i, texts[j]) for i, j in enumerate(order)], "doc_id long, text string")
+    space = tv.tfidf(frame)
+    want = brute_neighbours(space, range(len(texts)), 5)
+    assert space.vocabulary.where("term = 'the'").first().df > 50
+    for postings in (1 << 17, 300):
+        got = {i: [] for i in want}
+        for r in sparse_knn.topk_texts(space, frame, 5, block_postings=postings).collect():
+            got[r.src].append((r["rank"], r.dst, r.sim))
+        for i, rows in got.items():
+            assert [r for r, _, _ in sorted(rows)] == list(range(1, len(rows) + 1))
+            assert [(j, s) for _, j, s in sorted(rows)] == want[i], i
+    assert sparse_knn.topk_texts(space, frame, 1000).where("src = 0").count() <= len(texts) - 1
+    empty = tv.tfidf(frame.where("false"))
+    assert sparse_knn.topk_texts(empty, frame.where("false"), 5).count() == 0
 
 
 def test_alignment_counts_repeated_keys(spark):
