@@ -3,8 +3,8 @@
 Tokens follow the common ROUGE tokenizer: lower-case, runs of ``a-z0-9``
 (no stemming). ROUGE-N of a pair is a multiset intersection of two arrays in
 its row; against a whole group of texts it is a join of counts per (group,
-gram). ROUGE-L needs a longest common subsequence, which
-runs in an Arrow-batched pandas UDF (numpy row-by-row LCS) per pair.
+gram). ROUGE-L needs longest common subsequences, found for whole Arrow batches
+of pairs at once (see ``lcs``).
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from loomgraph.operators import lcs
+
 # Fixed value: ROUGE token pattern on lower-cased text.
 TOKEN = "[a-z0-9]+"
 
@@ -90,48 +92,18 @@ def _tok(text: str) -> list[str]:
     return re.findall(TOKEN, (text or "").lower())
 
 
-def lcs_len(a: list[str], b: list[str]) -> int:
-    if not a or not b:
-        return 0
-    vocab: dict[str, int] = {}
-    ai = [vocab.setdefault(x, len(vocab)) for x in a]
-    bi = np.array([vocab.setdefault(x, len(vocab)) for x in b], dtype=np.int64)
-    prev = np.zeros(len(b) + 1, dtype=np.int64)
-    c = np.zeros(len(b) + 1, dtype=np.int64)
-    for x in ai:
-        c[1:] = np.maximum(prev[1:], prev[:-1] + (bi == x))
-        prev = np.maximum.accumulate(c)
-    return int(prev[-1])
-
-
 def _prf(hit: int, n_pred: int, n_ref: int) -> tuple[float, float, float]:
     p = hit / n_pred if n_pred else 0.0
     r = hit / n_ref if n_ref else 0.0
     return p, r, (2 * p * r / (p + r) if p + r > 0 else 0.0)
 
 
-def rouge_l_pair(pred: str, ref: str) -> tuple[float, float, float]:
-    a, b = _tok(pred), _tok(ref)
-    return _prf(lcs_len(a, b), len(a), len(b))
-
-
-def _lcs_positions(r: list[str], p: list[str]) -> set[int]:
-    """Indices of ``r`` on one longest common subsequence with ``p``."""
-    n, m = len(r), len(p)
-    table = [[0] * (m + 1) for _ in range(n + 1)]
-    for i in range(n):
-        for j in range(m):
-            table[i + 1][j + 1] = table[i][j] + 1 if r[i] == p[j] else max(table[i][j + 1], table[i + 1][j])
-    out, i, j = set(), n, m
-    while i > 0 and j > 0:
-        if r[i - 1] == p[j - 1]:
-            out.add(i - 1)
-            i, j = i - 1, j - 1
-        elif table[i - 1][j] >= table[i][j - 1]:
-            i -= 1
-        else:
-            j -= 1
-    return out
+def rouge_l_rows(pred: list[str], ref: list[str]) -> list[tuple[float, float, float]]:
+    """V2 of each pair: one longest-common-subsequence step for a whole batch."""
+    a, b = [_tok(x) for x in pred], [_tok(x) for x in ref]
+    pairs = [lcs.numbered(x, y) for x, y in zip(a, b)]
+    hit = lcs.lcs_lengths([x for x, _ in pairs], [y for _, y in pairs])
+    return [_prf(int(h), len(x), len(y)) for h, x, y in zip(hit, a, b)]
 
 
 def rouge_lsum_pair(pred: str, ref: str) -> tuple[float, float, float]:
@@ -142,13 +114,12 @@ def rouge_lsum_pair(pred: str, ref: str) -> tuple[float, float, float]:
     n_pred, n_ref = sum(map(len, ps)), sum(map(len, rs))
     pc = Counter(t for s in ps for t in s)
     rc = Counter(t for s in rs for t in s)
+    lines = lcs.numbered(*rs, *ps)
     hit = 0
-    for r in rs:
-        union: set[int] = set()
-        for p in ps:
-            union |= _lcs_positions(r, p)
-        for i in sorted(union):
-            t = r[i]
+    for r, words in zip(lines, rs):
+        found = [lcs.lcs_positions(r, p) for p in lines[len(rs):]]
+        for i in np.unique(np.concatenate(found)).tolist() if found else []:
+            t = words[i]
             if pc[t] > 0 and rc[t] > 0:
                 hit += 1
                 pc[t] -= 1
@@ -156,6 +127,14 @@ def rouge_lsum_pair(pred: str, ref: str) -> tuple[float, float, float]:
     return _prf(hit, n_pred, n_ref)
 
 
+def rouge_lsum_rows(pred: list[str], ref: list[str]) -> list[tuple[float, float, float]]:
+    """V3 of each pair. Pairs of single lines are V2: every hit pairs one token
+    with one token, so the counts never clip."""
+    one = [i for i, (p, r) in enumerate(zip(pred, ref)) if "\n" not in p and "\n" not in r]
+    flat = dict(zip(one, rouge_l_rows([pred[i] for i in one], [ref[i] for i in one])))
+    return [flat[i] if i in flat else rouge_lsum_pair(pred[i], ref[i]) for i in range(len(pred))]
+
+
 _PRF = T.StructType([T.StructField("precision", T.DoubleType()), T.StructField("recall", T.DoubleType()),
                      T.StructField("fmeasure", T.DoubleType())])
 
@@ -163,13 +142,13 @@ _PRF = T.StructType([T.StructField("precision", T.DoubleType()), T.StructField("
 def _udf(fn):
     @F.pandas_udf(_PRF)
     def run(pred: pd.Series, ref: pd.Series) -> pd.DataFrame:
-        rows = [fn(a, b) for a, b in zip(pred.fillna(""), ref.fillna(""))]
+        rows = fn(pred.fillna("").tolist(), ref.fillna("").tolist())
         return pd.DataFrame(rows, columns=["precision", "recall", "fmeasure"])
     return run
 
 
-rouge_l_udf = _udf(rouge_l_pair)
-rouge_lsum_udf = _udf(rouge_lsum_pair)
+rouge_l_udf = _udf(rouge_l_rows)
+rouge_lsum_udf = _udf(rouge_lsum_rows)
 
 
 def rouge_l(pairs: DataFrame, key: list[str], pred: str, ref: str, summary_level: bool = False) -> DataFrame:
