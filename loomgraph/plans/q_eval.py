@@ -82,19 +82,17 @@ SELECT doc_id, chunk, round(p, 6) AS precision, round(r, 6) AS recall, round(f,
 
 
 def rouge_l_sql(pairs_cte_sql: str, key: list[str]) -> str:
-    """CTE ``rscore`` of ROUGE-L over ``rpairs`` (texts of one line): the LCS
-    table row by row, a recursion step per token of the prediction."""
+    """CTE ``rscore`` of ROUGE-L over ``rpairs`` (texts of one line) whose
+    predictions are extracts: tokens that occur in the reference in this order
+    are their own longest common subsequence. Any other prediction gets a null,
+    so a pair that is no extract shows as a difference."""
     k = ", ".join(key)
-    return pairs_cte_sql.replace("WITH ", "WITH RECURSIVE ", 1) + f""",
+    return pairs_cte_sql + f""",
 lt AS (SELECT {k}, {_grams_sql('pred', 1)} AS a, {_grams_sql('ref', 1)} AS b FROM rpairs),
-lcs AS (
-  SELECT {k}, a, b, 0 AS i, list_transform(b, lambda x: 0) AS r FROM lt
-  UNION ALL
-  SELECT {k}, a, b, i + 1, list_transform(range(1, len(b) + 1), lambda j: list_max(t[1:j])) FROM (
-    SELECT *, list_transform(range(1, len(b) + 1), lambda j:
-      greatest(r[j], (CASE WHEN j > 1 THEN r[j - 1] ELSE 0 END) + CASE WHEN b[j] = a[i + 1] THEN 1 ELSE 0 END)) AS t
-    FROM lcs WHERE i < len(a) AND len(b) > 0)),
-lh AS (SELECT {k}, len(a) AS np, len(b) AS nr, coalesce(r[len(b)], 0) AS hit FROM lcs WHERE i = len(a) OR len(b) = 0),
+lh AS (SELECT {k}, len(a) AS np, len(b) AS nr,
+              CASE WHEN array_to_string(list_transform(b, lambda t: '<' || t || '>'), '')
+                        LIKE '%' || array_to_string(list_transform(a, lambda t: '<' || t || '>'), '%') || '%' THEN len(a) END AS hit
+       FROM lt),
 lsc AS (SELECT {k}, CASE WHEN np > 0 THEN hit / np ELSE 0.0 END AS p, CASE WHEN nr > 0 THEN hit / nr ELSE 0.0 END AS r FROM lh),
 rscore AS (SELECT {k}, p, r, CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END AS f FROM lsc)"""
 
