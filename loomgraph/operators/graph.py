@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomgraph.session import materialize, release
+
 
 def edge_ends(edges: DataFrame, weight: str = "weight") -> DataFrame:
     """Both endpoints of every undirected edge: ``(node, other, weight)``."""
@@ -96,3 +98,29 @@ def modularity(edges: DataFrame, labels: DataFrame, node: str = "id",
                     F.sum(F.col("tot") * F.col("tot")).alias("s_tot2"))
     return tot.select(F.round(F.col("s_in") / F.col("m2") - F.col("s_tot2") / (F.col("m2") * F.col("m2")),
                               6).alias("modularity"))
+
+
+def connected_components(edges: DataFrame, src: str = "u", dst: str = "v") -> DataFrame:
+    """``(id, component)`` of every vertex with an edge: the smallest id
+    reachable.
+
+    Each round gives a vertex the smallest label among its neighbours and then
+    the label of that label, so distances halve where labels already agree; rounds
+    end when nothing changes. A round is two joins keyed by vertex, written as a
+    table, and the previous one is released.
+    """
+    both = materialize(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))
+                       .unionByName(edges.select(F.col(dst).alias("u"), F.col(src).alias("v"))).distinct(), "cc-ends")
+    labels = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("label")), "cc-labels")
+    while True:
+        near = (both.join(labels.select(F.col("u").alias("v"), "label"), "v")
+                .groupBy("u").agg(F.min("label").alias("near")))
+        low = labels.join(near, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("mid"))
+        far = labels.select(F.col("u").alias("mid"), F.col("label").alias("far"))
+        new = materialize(low.join(far, "mid", "left").select("u", F.least("mid", F.coalesce("far", "mid")).alias("label"), "old"),
+                          "cc-labels")
+        done = new.where("label <> old").limit(1).count() == 0
+        release(labels)
+        labels = new
+        if done:
+            return labels.select(F.col("u").alias("id"), F.col("label").alias("component"))

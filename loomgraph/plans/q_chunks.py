@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions import text as tx
 from loomgraph.operators import chunks as ch
+from loomgraph.operators import neardup
 from loomgraph.operators import sentences as st
 from loomgraph.plans import sql_text as S
 from loomgraph.plans import stages
@@ -102,3 +103,10 @@ SELECT id, rep, cluster_size FROM k JOIN reps USING (norm)""")
 def q_near_dup_exact(spark, sf_dir):
     d = spread(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return ch.exact_duplicate_clusters(d, "doc_id", "text")
+
+
+@register("near_dup_sentences")
+def q_near_dup_sentences(spark, sf_dir):
+    """Clusters of near-duplicate sentences of the whole corpus, each row
+    with the first sentence of its cluster (tested against all pairs)."""
+    return neardup.near_duplicates(sentences(spark, sf_dir), ["doc_id", "pos"], "sentence")
