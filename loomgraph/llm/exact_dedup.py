@@ -8,10 +8,12 @@ replaced by one space. Three rounds of narrower groups:
    length; rows alone with (length, prefix) are done;
 3. SHA-256 of the whole normalised text, computed only for the survivors.
 
-Rounds 1 and 2 move ``(id, length, hash)`` only. Every group is reduced by a
-partially aggregated ``groupBy`` and joined back, so a group of copies that
-holds a third of all rows is one aggregated row; the join back is a plain
-shuffled join that adaptive execution may split.
+Rounds 1 and 2 move ``(id, length, hash)`` only; the surviving groups are written,
+and the second pass over the texts keeps the rows that belong to one before it
+hashes them. Every group is reduced by a partially aggregated ``groupBy`` and
+joined back, so a group of copies that holds a third of all rows is one
+aggregated row; the join back is a plain shuffled join that adaptive execution
+may split.
 """
 
 from __future__ import annotations
@@ -44,27 +46,28 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     norm = normalised(F.col(text_col))
     rows = docs.select(F.col(id_col).alias("_id"), norm.alias("_t"))
-    keys = materialize(rows.select(
-        "_id", F.octet_length("_t").cast("long").alias("_len"),
-        F.xxhash64(F.substring("_t", 1, prefix_chars)).alias("_pre")), "dedup-keys")
+    rows = rows.withColumns({"_len": F.octet_length("_t").cast("long"),
+                             "_pre": F.xxhash64(F.substring("_t", 1, prefix_chars))})
+    narrow = ["_id", "_len", "_pre"]
+    # where every digest is asked for, the one pass over the texts makes it, too
+    keys = materialize(rows.select(*narrow, *([F.sha2("_t", 256).alias("_sha")] if digest else [])), "dedup-keys")
 
     lengths = keys.groupBy("_len").count().where("count > 1").select("_len")
-    same_len = keys.join(lengths, "_len")
-    prefixes = same_len.groupBy("_len", "_pre").count().where("count > 1").select("_len", "_pre")
-    survivors = (same_len.join(prefixes, ["_len", "_pre"]).select("_id").distinct()
-                 .select(F.col("_id").alias("_sid"), F.lit(True).alias("_again")))
+    same_len = keys.select("_len", "_pre").join(lengths, "_len")
+    again = materialize(same_len.groupBy("_len", "_pre").count().where("count > 1").select("_len", "_pre"), "dedup-groups")
+    if digest:
+        full = keys.join(again, ["_len", "_pre"], "left_semi").select("_id", "_sha")
+    else:
+        full = materialize(rows.join(again, ["_len", "_pre"], "left_semi")
+                           .select("_id", F.sha2("_t", 256).alias("_sha")), "dedup-hashes")
 
-    full = (rows.join(survivors, F.col("_id").eqNullSafe(F.col("_sid")), "left")
-            .select("_id", F.when(F.col("_again"), F.sha2("_t", 256)).alias("_sha"),
-                    *([F.sha2("_t", 256).alias("text_sha256")] if digest else [])))
-    full = materialize(full, "dedup-hashes")
-
-    groups = (full.where("_sha IS NOT NULL").groupBy("_sha")
-              .agg(F.min("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
-    again = full.where("_sha IS NOT NULL").join(groups, "_sha")
-    alone = (full.where("_sha IS NULL")
+    groups = full.groupBy("_sha").agg(F.min("_id").alias("keep_id"), F.count(F.lit(1)).alias("group_size"))
+    again_rows = full.join(groups, "_sha").withColumnRenamed("_sha", "text_sha256")
+    alone = (keys.join(again, ["_len", "_pre"], "left_anti")
              .withColumn("keep_id", F.col("_id")).withColumn("group_size", F.lit(1).cast("long")))
+    if digest:
+        alone = alone.withColumnRenamed("_sha", "text_sha256")
     cols = [F.col("_id").alias(id_col), "keep_id", F.col("group_size").cast("long").alias("group_size"),
             F.col("_id").eqNullSafe(F.col("keep_id")).alias("kept"),
             *(["text_sha256"] if digest else [])]
-    return again.select(*cols).unionByName(alone.select(*cols))
+    return again_rows.select(*cols).unionByName(alone.select(*cols))
