@@ -17,12 +17,13 @@ shingles reaches ``percent``/100. The steps:
 5. *Expand and verify.* The units of the groups at a home are cut into tiles
    of bounded size, and each pair of tiles counts all overlaps by a product
    of membership matrices. Only a spanning forest of the links leaves a tile
-   pair, so large families of near copies do not become lists of pairs.
+   pair, so large families of near copies do not become lists of pairs. At a
+   home of several tiles all units are verified against its first one before,
+   and those that this connects to the home's largest part meet only the rest:
+   a family of ``m`` units of which ``r`` stay apart costs ``m * r``, not ``m * m``.
 6. *Components* of the links by rounds of minimum labels and label jumps.
 
-No set, partner or candidate is capped; a family of near copies costs the
-square of its number of *different* sets in matrix arithmetic, spread over
-tile pairs.
+No set, partner or candidate is capped.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ from loomgraph.llm.shingles import RUN_BASES, Words, blocks, mixed
 from loomgraph.session import materialize, release
 
 TILE = 256  # units in a tile
+TILE_BYTES = 8 << 20  # of their sets, about
+VERIFY_BYTES = 24 << 20  # of sets that one call of the verification gets, about
 COLUMNS = 4096  # shingles of a membership matrix at once
 NAMELESS = 1 << 62  # rows with a null id go by a number from here on, made of their set
 
@@ -94,6 +97,14 @@ def links(sets: list[np.ndarray], percent: int) -> np.ndarray:
     return np.argwhere(np.triu(hit, 1))
 
 
+def linked(x: bytes, y: bytes, percent: int) -> bool:
+    a, b = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+    if 100 * min(len(a), len(b)) < percent * max(len(a), len(b)):
+        return False
+    both = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * both >= percent * (len(a) + len(b) - both)
+
+
 def forest(pairs, names: list) -> list[tuple]:
     """The pairs that join what was apart, in names."""
     up = list(range(len(names)))
@@ -137,8 +148,8 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, block_bytes: int = 12 << 20,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(id, n_shingles, component_id)`` per row.
+                       id_col: str = "doc_id", text_col: str = "text", row_col: str | None = None) -> DataFrame:
+    """``(id, n_shingles, component_id[, row, kept])`` per row.
 
     ``component_id`` is the smallest id reachable over links, the row's own
     included. Words are lower-cased (A-Z) runs of non-blank bytes. Texts with
@@ -146,20 +157,23 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, block
     texts none, and those link with nothing. Rows with equal sets are linked
     and take part once; rows that repeat an id are linked like any others;
     null ids come after all others and stand as a component's name only where
-    all ids in it are null. Other columns are ignored; an empty table gives
+    all ids in it are null. With ``row_col``, a long that tells rows apart,
+    ``kept`` marks one row of each component, the smallest by (id, row), and
+    every row without shingles. Other columns are ignored; an empty table gives
     no rows. Whole texts are read, however long.
     """
-    table, grid = block_table(docs, id_col, text_col, block_bytes, {})
+    table, grid = block_table(docs, id_col, text_col, block_bytes, {row_col: "_row"} if row_col else {})
 
     def items(block: pa.Table) -> np.ndarray:
         sets = shingle_sets(ordered(block)[2], words)
         return np.concatenate(sets) if sets else np.zeros(0, np.uint64)
 
     def signatures(key: tuple[pa.Scalar, ...], block: pa.Table, sent: pa.Table) -> pa.Table:
-        _, ids, texts = ordered(block)
+        order, ids, texts = ordered(block)
+        number = block.column("_row").to_numpy()[order].tolist() if row_col else [0] * len(order)
         known = received(sent.column("_data").to_pylist())
         rows = []
-        for i, s in zip(ids.tolist(), shingle_sets(texts, words)):
+        for i, r, s in zip(ids.tolist(), number, shingle_sets(texts, words)):
             size = magnitudes(s, grid, *known)
             n = len(s)
             unit = fingerprint(s) if n else None
@@ -170,17 +184,17 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, block
             rows.append((i, n, unit,
                          fingerprint(np.append(prefix, np.uint64(n))) if many.any() else None,
                          prefix[many].astype(np.int64).tolist() if many.any() else None,
-                         s.tobytes() if many.any() else None))
-        cols = list(zip(*rows)) or [()] * 6
+                         s.tobytes() if many.any() else None, r))
+        cols = list(zip(*rows)) or [()] * 7
         return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                          pa.array(cols[2], pa.binary()), pa.array(cols[3], pa.binary()),
-                         pa.array(cols[4], pa.list_(pa.int64())), pa.array(cols[5], pa.binary())],
-                        ["id", "n", "unit", "grp", "posts", "items"])
+                         pa.array(cols[4], pa.list_(pa.int64())), pa.array(cols[5], pa.binary()), pa.array(cols[6], pa.int64())],
+                        ["id", "n", "unit", "grp", "posts", "items", "row"])
 
     cells = repeated_cells(table, grid, items)
     rows = materialize(
         table.groupBy("_block").cogroup(cells.groupBy("_block"))
-        .applyInArrow(signatures, "id long, n long, unit binary, grp binary, posts array<long>, items binary"),
+        .applyInArrow(signatures, "id long, n long, unit binary, grp binary, posts array<long>, items binary, row long"),
         "jaccard-sets", codec="zstd")
 
     # equal sets are one unit, named by its smallest id
@@ -189,24 +203,54 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, block
     named = materialize(
         indexed.select("unit", "grp", "posts", "items", "id")
         .join(indexed.groupBy("unit").agg(F.min("id").alias("u")), "unit")
-        .where("id = u").dropDuplicates(["unit"]).select("u", "grp", "posts", "items"), "jaccard-units")
-    groups = named.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), F.min("u").alias("u"))
+        .where("id = u").dropDuplicates(["unit"])
+        .select("u", "grp", "posts", "items", F.octet_length("items").cast("long").alias("bytes")), "jaccard-units")
+    groups = named.groupBy("grp").agg(F.count(F.lit(1)).alias("m"), F.min("u").alias("u"), F.sum("bytes").alias("bytes"))
     posts = materialize(named.select("grp", "u", "posts").join(groups, ["grp", "u"])
-                        .select("grp", "m", F.explode("posts").alias("h")), "jaccard-posts")
-    keys = posts.groupBy("h").agg(F.sum("m").alias("size")).where("size > 1")
-    live = materialize(posts.join(keys, "h").select("h", "grp", "size"), "jaccard-keys")
+                        .select("grp", "m", "bytes", F.explode("posts").alias("h")), "jaccard-posts")
+    keys = posts.groupBy("h").agg(F.sum("m").alias("size"), F.sum("bytes").alias("bytes")).where("size > 1")
+    live = materialize(posts.drop("bytes").join(keys, "h").select("h", "grp", "size", "bytes"), "jaccard-keys")
 
     homes = live.groupBy("grp").agg(F.max(F.struct("size", "h")).alias("x")).select(F.col("x.h").alias("h")).distinct()
     at_home = materialize(live.join(homes, "h", "left_semi"), "jaccard-homes")
 
-    # the units of every group at a home, cut into tiles; each pair of tiles meets once
-    tile = F.pmod(F.xxhash64("u"), F.col("tiles")).cast("int")
-    seats = (at_home.join(named.select("grp", "u"), "grp")
-             .withColumn("tiles", F.ceil(F.col("size") / TILE).cast("int")).withColumn("t", tile)
-             .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-             .select("u", "h", F.least("t", "s").alias("a"), F.greatest("t", "s").alias("b"), "t"))
+    def test(batches):
+        for part in batches:
+            out = [(u, v) for u, v, x, y in zip(*(part.column(c).to_pylist() for c in ("u", "v", "x", "y"))) if linked(x, y, percent)]
+            cols = list(zip(*out)) or [(), ()]
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64())], ["u", "v"])
+
+    # the units of every group at a home; large homes first by their leaders
+    tiles = F.greatest(F.ceil(F.col("size") / TILE), F.ceil(F.col("bytes") / TILE_BYTES)).cast("int")
+    seated = at_home.withColumn("tiles", tiles).join(named.select("grp", "u"), "grp").select("u", "h", "tiles")
+    large = materialize(seated.where("tiles > 1"), "jaccard-large")
+    leaders = large.groupBy("h").agg(F.min("u").alias("v"))
+    star = large.join(leaders, "h").where("u <> v").select("u", "v").distinct()
+    near = materialize(star.join(named.select("u", F.col("items").alias("x")), "u")
+                       .join(named.select(F.col("u").alias("v"), F.col("items").alias("y")), "v")
+                       .select("u", "v", "x", "y").mapInArrow(test, "u long, v long"), "jaccard-star")
+    part = components(near).withColumnRenamed("label", "part")
+    large = large.join(part, "u", "left").select("h", "u", F.coalesce("part", "u").alias("part"))
+    sizes = large.groupBy("h", "part").agg(F.count(F.lit(1)).alias("c"))
+    main = sizes.groupBy("h").agg(F.max_by("part", F.struct("c", "part")).alias("main"), F.sum("c").alias("m"), F.max("c").alias("c"))
+    # units outside the main part (tiles from 0) meet all tiles; those in it meet only the others' tiles
+    main = main.where("m > c").join(at_home.select("h", "bytes").distinct(), "h")
+    apart = F.greatest(F.ceil((F.col("m") - F.col("c")) / TILE), F.ceil(F.col("bytes") * (F.col("m") - F.col("c")) / F.col("m") / TILE_BYTES))
+    whole = F.greatest(F.ceil(F.col("c") / TILE), F.ceil(F.col("bytes") * F.col("c") / F.col("m") / TILE_BYTES))
+    main = main.select("h", "main", apart.cast("int").alias("ta"), whole.cast("int").alias("tb"))
+    inside = F.col("part") == F.col("main")
+    hashed = F.xxhash64("u")
+    cut = (large.join(main, "h")
+           .withColumn("t", F.when(inside, F.col("ta") + F.pmod(hashed, F.col("tb"))).otherwise(F.pmod(hashed, F.col("ta"))).cast("int"))
+           .withColumn("last", F.when(inside, F.col("ta") - 1).otherwise(F.col("ta") + F.col("tb") - 1))
+           .withColumn("s", F.explode(F.sequence(F.lit(0), F.col("last"))))
+           .select("u", "h", F.least("t", "s").alias("a"), F.greatest("t", "s").alias("b"), "t"))
+    zero = F.lit(0)
+    seats = materialize(cut.unionByName(seated.where("tiles = 1").select(
+        "u", "h", zero.alias("a"), zero.alias("b"), zero.alias("t"))), "jaccard-seats")
+    sent = seats.join(named.select("u", "bytes"), "u").agg(F.sum("bytes")).first()[0] or 0
     met = (seats.join(named.select("u", "items"), "u")
-           .withColumn("bucket", F.pmod(F.xxhash64("h", "a", "b"), F.lit(4 * grid.n)).cast("int")))
+           .withColumn("bucket", F.pmod(F.xxhash64("h", "a", "b"), F.lit(max(1, -(-sent // VERIFY_BYTES)))).cast("int")))
 
     def verify(part: pa.Table) -> pa.Table:
         h, a, b, t, u = (part.column(c).to_numpy() for c in ("h", "a", "b", "t", "u"))
@@ -241,19 +285,17 @@ def jaccard_components(docs: DataFrame, words: int = 5, percent: int = 75, block
     one = named.select("grp", F.col("u").alias("u"), F.col("items").alias("x"))
     two = named.select(F.col("grp").alias("grp2"), F.col("u").alias("v"), F.col("items").alias("y"))
 
-    def test(batches):
-        for part in batches:
-            out = [(u, v) for u, v, x, y in zip(*(part.column(c).to_pylist() for c in ("u", "v", "x", "y")))
-                   if len(links([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)], percent))]
-            cols = list(zip(*out)) or [(), ()]
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64())], ["u", "v"])
-
     rest = listed.join(one, "grp").join(two, "grp2").select("u", "v", "x", "y").mapInArrow(test, "u long, v long")
-    label = components(found.unionByName(rest))
-
-    known = (rows.where("n > 0").select("id", "n", "unit").join(units, "unit")
-             .join(label, "u", "left").select("id", "n", F.coalesce("label", "u").alias("component_id")))
-    blank = rows.where("n = 0").select("id", "n", F.col("id").alias("component_id"))
+    label = components(found.unionByName(rest).unionByName(near))
+
+    known = (rows.where("n > 0").select("id", "n", "unit", "row").join(units, "unit")
+             .join(label, "u", "left").select("id", "n", "row", F.coalesce("label", "u").alias("component_id")))
+    blank = rows.where("n = 0").select("id", "n", "row", F.col("id").alias("component_id"))
+    if row_col:
+        first = known.groupBy("component_id").agg(F.min(F.struct("id", "row")).alias("first"))
+        known = known.join(first, "component_id").withColumn("kept", F.struct("id", "row") == F.col("first")).drop("first")
+        blank = blank.withColumn("kept", F.lit(True))
     real = lambda c: F.when(F.col(c) < NAMELESS, F.col(c))
     return known.unionByName(blank).select(real("id").alias(id_col), F.col("n").alias("n_shingles"),
-                                           real("component_id").alias("component_id"))
+                                           real("component_id").alias("component_id"),
+                                           *([F.col("row").alias(row_col), "kept"] if row_col else []))
