@@ -87,6 +87,30 @@ def test_odd_tables_pass_through(spark, tmp_path):
         assert ids == ({1, 3, None} if rows else set())
 
 
+def test_rows_not_ids_are_kept(spark, tmp_path):
+    a, b = ("one two three four five six seven eight nine ten eleven twelve " + x for x in ("thirteen", "other words here to differ"))
+    near = a + " fourteen"
+    rows = [(3, b, "x"), (5, a, "x"), (5, b, "x"), (None, a, "x"), (None, "own text", "x"), (7, "own text two", "x"),
+            (7, "own text two", "x"), (9, near, "x"), (5, near, "y"), (None, None, "x"), (8, "", "x"), (8, "", "z")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    frame.repartition(3).write.parquet(str(tmp_path / "t"))
+    for docs in (frame, spark.read.parquet(str(tmp_path / "t"))):
+        got = cp.drop_copies(spark, docs, "")
+        assert got.columns == docs.columns
+        left = sorted(((r.doc_id is None, r.doc_id or 0), r.text or "") for r in got.collect())
+        assert left == sorted([((False, 3), b), ((False, 5), a), ((False, 5), near), ((True, 0), "own text"), ((False, 7), "own text two"),
+                               ((False, 8), "")])
+        got.write.mode("overwrite").parquet(str(tmp_path / "u"))
+        rest = cp.drop_near_copies(spark, spark.read.parquet(str(tmp_path / "u")), "").collect()
+        assert len(rest) == 5 and sum(r.doc_id == 5 for r in rest) == 1
+
+
+def test_run_equals_its_stages(spark, stages):
+    rows = cp.run(spark, SF)
+    key = ["doc_id", "start", "length", "ids_crc32"]
+    assert sorted(map(tuple, rows.select(*key).collect())) == sorted(map(tuple, stages[5].select(*key).collect()))
+
+
 def test_held_out_language(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     rows = QUERIES["op5_compression_language"](spark, "/root/testdata/sf0.1").join(docs.select("doc_id", "lang"), "doc_id").collect()
