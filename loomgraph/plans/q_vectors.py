@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from loomgraph.functions.vectors import l2_norm, l2_normalize, sum_array
 
-from loomgraph.operators import simjoin
+from loomgraph.operators import cell_index, simjoin
 from loomgraph.operators.embed import embedding_stats
 from loomgraph.operators.graph import weighted_degree
 from loomgraph.plans.registry import register
@@ -149,3 +149,31 @@ def q_knn_lsh(spark, sf_dir):
     (rows-only oracle; recall against the exact join is tested)."""
     from loomgraph.operators.lsh import knn_lsh
     return knn_lsh(read_table(spark, sf_dir, "embeddings"), K_GRAPH)
+
+
+CELLS, PROBES = 32, 20
+
+
+def searched(spark, sf_dir, probes):
+    e = read_table(spark, sf_dir, "embeddings")
+    index = cell_index.build(e, CELLS, "vec_id", "embedding")
+    hits = cell_index.search(index, e.where("vec_id % 50 = 0"), K_GRAPH, probes, "vec_id", "embedding", exclude_self=True)
+    return hits.select("query", "id", "dist", F.col("rank").cast("long").alias("rank"))
+
+
+@register("cell_search")
+def q_cell_search(spark, sf_dir):
+    """S11 + J3 for large tables: every 50th vector against an index of cells, of
+    which each query probes some (recall tested)."""
+    return searched(spark, sf_dir, PROBES)
+
+
+@register("cell_search_all", sql="""
+SELECT query, id, dist, rank FROM (
+  SELECT a.vec_id AS query, b.vec_id AS id, round(list_sum(list_transform(range(1, len(a.embedding) + 1), lambda i:
+           (CAST(a.embedding[i] AS DOUBLE) - CAST(b.embedding[i] AS DOUBLE)) ^ 2)), 6) AS dist,
+         row_number() OVER (PARTITION BY a.vec_id ORDER BY dist, b.vec_id) AS rank
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0) WHERE rank <= 5""")
+def q_cell_search_all(spark, sf_dir):
+    """The same with all cells probed, which is the exact search."""
+    return searched(spark, sf_dir, CELLS)
