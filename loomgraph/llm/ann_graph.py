@@ -8,9 +8,10 @@ rule that leaves some long edges). Edges are added backwards too, and a list
 that overflows is pruned again. A query runs a beam search in every shard; the
 best of all shards, scored in double precision on the original vectors, win.
 
-The query set is stated by the caller (vectors, cut into blocks); each block
-meets each shard's stored graph once. All queries of a block advance together,
-so a step of the search is a few array operations.
+The query set is stated by the caller. Queries go to the shards as plain rows,
+sorted behind the shard's stored graph, and stream past it; the graph is sent
+once for every ``ASKS`` queries. Queries advance ``TOGETHER``, so a step of the
+search is a few array operations.
 
 Equal vectors are indexed once and carry their smallest ids, as many as a
 result can need: of equal vectors only those can be among the nearest.
@@ -30,6 +31,7 @@ from loomgraph.session import materialize
 
 TOGETHER = 256  # searches that advance together
 EXPAND = 4      # beam entries expanded in a step
+ASKS = 1 << 16  # queries that meet a shard in one task, about
 
 
 def beam_search(x: np.ndarray, graph: np.ndarray, start: int, q: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
@@ -131,7 +133,7 @@ def usable(v: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int = 16_384, degree: int = 40,
-            build_beam: int = 80, beam: int = 192, alpha: float = 1.2, query_block: int = 2_048,
+            build_beam: int = 80, beam: int = 192, alpha: float = 1.2,
             id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """``(query_id, rank, id, score)``: the ``k`` nearest by cosine found for
     each query, all candidates if fewer; ties go to the smaller id.
@@ -170,35 +172,58 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, shard_rows: int =
         placed.groupBy("dim", "shard")
         .applyInArrow(index, "dim int, shard int, start int, v binary, graph binary, ids array<array<long>>"), "ann-graphs")
 
-    asked = rows.where("q").groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
-    blocks = max(1, -(-asked.count() // query_block))
-    asked = (asked.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
-             .groupBy("dim", "block").agg(F.collect_list(F.struct("id", "v")).alias("asked")))  # about query_block rows
-    met = graphs.join(asked, "dim")
-
-    def search(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
-        out: list[tuple] = []
-        for r in part.to_pylist():
-            v = np.frombuffer(r["v"], np.float64).reshape(-1, r["dim"])
-            norm = np.linalg.norm(v, axis=1)
-            x = (v / norm[:, None]).astype(np.float32)
-            graph = np.frombuffer(r["graph"], np.int32).reshape(len(v), degree)
-            qid = [a["id"] for a in r["asked"]]
-            q = np.array([a["v"] for a in r["asked"]], dtype=np.float64)
-            unit = (q / np.linalg.norm(q, axis=1, keepdims=True)).astype(np.float32)
-            for i in range(0, len(q), TOGETHER):
-                found, _ = beam_search(x, graph, r["start"], unit[i:i + TOGETHER], beam)
-                for j, near in enumerate(found, i):
-                    near = near[near >= 0][:4 * k + 8]
-                    score = (v[near] * q[j]).sum(axis=1) / (norm[near] * np.linalg.norm(q[j]))
-                    best = sorted((-s, c) for s, m in zip(score.tolist(), near.tolist())
-                                  for c in r["ids"][m] if c != qid[j])[:k]
-                    out += [(qid[j], c, -s) for s, c in best]
-        cols = list(zip(*out)) or [(), (), ()]
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
-                        ["query_id", "id", "score"])
-
-    found = met.groupBy("dim", "shard", "block").applyInArrow(search, "query_id long, id long, score double")
+    asked = rows.where("q").groupBy("id").agg(F.min("v").alias("q")).withColumn("dim", F.size("q"))
+    copies = max(1, -(-asked.count() // ASKS))
+    part = F.pmod(F.xxhash64("id"), F.lit(copies)).cast("int")
+    none = {"start": "int", "v": "binary", "graph": "binary", "ids": "array<array<long>>", "id": "long", "q": "array<double>"}
+
+    def shaped(df: DataFrame, asks: bool) -> DataFrame:
+        return df.select("dim", "shard", "part", F.lit(asks).alias("asks"),
+                         *[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in none.items()])
+
+    met = shaped(graphs.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))), False).unionByName(
+        shaped(asked.withColumn("shard", F.explode(F.sequence(F.lit(0), count - 1))).withColumn("part", part), True))
+
+    def answers(shard: dict, qid: list[int], q: np.ndarray) -> Iterator[tuple]:
+        unit = (q / np.linalg.norm(q, axis=1, keepdims=True)).astype(np.float32)
+        found, _ = beam_search(shard["x"], shard["graph"], shard["start"], unit, beam)
+        for j, near in enumerate(found):
+            near = near[near >= 0]
+            score = (shard["v"][near] * q[j]).sum(axis=1) / (shard["norm"][near] * np.linalg.norm(q[j]))
+            if len(near) > k:  # the query's own node may be one of them; ties of the last all count
+                some = score >= np.partition(score, len(score) - k - 1)[len(score) - k - 1]
+                near, score = near[some], score[some]
+            best = sorted((-s, c) for s, m in zip(score.tolist(), near.tolist())
+                          for c in shard["ids"][m] if c != qid[j])[:k]
+            yield from ((qid[j], c, -s) for s, c in best)
+
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, shard = None, {}
+        for batch in batches:
+            place = list(zip(*(batch.column(c).to_pylist() for c in ("dim", "shard", "part", "asks"))))
+            edges = [0, *(i for i in range(1, len(place)) if place[i] != place[i - 1]), len(place)]
+            out: list[tuple] = []
+            for a, b in zip(edges, edges[1:]):
+                if a < b and not place[a][3]:  # the shard's graph
+                    v = np.frombuffer(batch.column("v")[a].as_py(), np.float64).reshape(-1, place[a][0])
+                    norm = np.linalg.norm(v, axis=1)
+                    key, shard = place[a][:3], {
+                        "v": v, "norm": norm, "x": (v / norm[:, None]).astype(np.float32),
+                        "graph": np.frombuffer(batch.column("graph")[a].as_py(), np.int32).reshape(len(v), degree),
+                        "ids": batch.column("ids")[a].as_py(), "start": batch.column("start")[a].as_py()}
+                elif a < b and place[a][:3] == key:  # without vectors to find there is no graph
+                    for i in range(a, b, TOGETHER):
+                        some = batch.slice(i, min(TOGETHER, b - i))
+                        q = some.column("q").flatten().to_numpy(zero_copy_only=False).reshape(some.num_rows, -1)
+                        out += answers(shard, some.column("id").to_pylist(), q)
+            cols = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())],
+                ["query_id", "id", "score"])
+
+    place = ["dim", "shard", "part"]
+    found = (met.repartition(*place).sortWithinPartitions(*place, "asks", "id")
+             .mapInArrow(search, "query_id long, id long, score double"))
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "id")
     # an id with several vectors answers once, by its nearest
     found = found.groupBy("query_id", "id").agg(F.max("score").alias("score"))

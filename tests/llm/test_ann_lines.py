@@ -40,6 +40,36 @@ def test_recall_and_scores(spark):
     assert hits >= 0.9 * 5 * len(want)
 
 
+def test_recall_of_full_shards(spark):
+    """The shipped settings on a shard and a half."""
+    rng = np.random.default_rng(8)
+    n = 24_576
+    v = rng.normal(size=(n, 64)).astype(np.float32)
+    frame = spark.createDataFrame([(i, w.tolist()) for i, w in enumerate(v)], "vec_id long, embedding array<float>")
+    got = {}
+    for r in nearest(frame.repartition(8), F.col("vec_id") % 50 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    unit = v / np.linalg.norm(v, axis=1, keepdims=True)
+    sim = unit[::50] @ unit.T
+    sim[np.arange(len(sim)), np.arange(0, n, 50)] = -1
+    want = np.argsort(-sim, axis=1)[:, :5]
+    assert sum(len(got[50 * i] & set(w.tolist())) for i, w in enumerate(want)) >= 0.9 * want.size
+
+
+def test_many_vectors_of_equal_cosine(spark):
+    """Vectors on a circle around the query: the smallest ids of a tie win."""
+    rows = [(0, [1.0, 0.0, 0.0])]
+    for i in range(1, 101):
+        a = 2 * np.pi * i / 100
+        rows.append((i, [3.0, 4.0 * round(float(np.cos(a)), 3), 4.0 * round(float(np.sin(a)), 3)]))
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    got = sorted((r["rank"], r.vec_id, r.score) for r in nearest(frame, F.col("vec_id") == 0).collect())
+    v = np.array([r[1] for r in rows], np.float32).astype(np.float64)
+    score = v[1:, 0] / np.linalg.norm(v[1:], axis=1)
+    want = sorted(range(1, 101), key=lambda i: (-score[i - 1], i))[:5]
+    assert [i for _, i, _ in got] == want
+
+
 def test_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(0, [1.0, 0.0]), (50, [2.0, 0.0]), (1, [1.0, 0.0]), (2, [0.0, 1.0]), (3, None), (4, [0.0, 0.0]),
