@@ -72,11 +72,20 @@ def degree_centrality(edges: DataFrame, labels: DataFrame, node: str = "id",
 def top_fraction(centrality: DataFrame, fraction_tenths: int = 9, node: str = "id",
                  community: str = "community") -> DataFrame:
     """First ``int(0.9 * n)`` members of each community by centrality desc,
-    ties by id (W2, L3). A community of one keeps nobody."""
-    w = Window.partitionBy(community).orderBy(F.col("centrality").desc(), F.col(node).asc())
-    keep = (F.col("size") * F.lit(fraction_tenths)) / F.lit(10)
-    return (centrality.withColumn("rank", F.row_number().over(w).cast("long"))
-            .where(F.col("rank") <= F.floor(keep)))
+    ties by id (W2, L3). A community of one keeps nobody. Ranks are the members
+    above in the histogram of centralities plus the place in the own bin, so no
+    window spans a community."""
+    from loomgraph.operators.chunks import ordinal_in_group
+    # members of equal centrality form a bin; only bins (few a community) are ordered in a window
+    higher = Window.partitionBy(community).orderBy(F.col("centrality").desc()).rowsBetween(Window.unboundedPreceding, -1)
+    bins = (centrality.groupBy(community, "centrality").agg(F.count(F.lit(1)).alias("_n"))
+            .withColumn("_above", F.coalesce(F.sum("_n").over(higher), F.lit(0))).drop("_n"))
+    keep = F.floor((F.col("size") * F.lit(fraction_tenths)) / F.lit(10))
+    reached = (centrality.join(bins, [community, "centrality"]).where(F.col("_above") < keep)
+               .withColumn("_bin", F.struct(community, "centrality")))
+    return (ordinal_in_group(reached, "_bin", node)
+            .withColumn("rank", (F.col("_above") + F.col("ordinal") + 1).cast("long"))
+            .where(F.col("rank") <= keep).select(*centrality.columns, "rank"))
 
 
 def modularity(edges: DataFrame, labels: DataFrame, node: str = "id",

@@ -12,7 +12,7 @@ from loomgraph.operators import graph as g
 from loomgraph.operators import sentences as st
 from loomgraph.operators import simjoin
 from loomgraph.operators import tfidf as tv
-from loomgraph.operators.louvain import one_sweep
+from loomgraph.operators.louvain import louvain
 from loomgraph.plans import q_sparse
 from loomgraph.plans import sql_text as S
 from loomgraph.plans import stages
@@ -115,24 +115,24 @@ csum AS (SELECT c.community, CASE WHEN coalesce(trim(p.summary), '') = '' THEN '
 
 
 def computed_nodes(spark, sf_dir):
-    """Good documents with communities computed on their own graph: one
-    Louvain sweep over the top-k TF-IDF graph of the same documents."""
+    """Good documents with communities computed on their own graph: the
+    Louvain partition of the top-k TF-IDF graph of the same documents."""
     def build():
         good = stages.good_docs(spark, sf_dir)
-        labels = one_sweep(doc_graph(spark, sf_dir), good.select(F.col("doc_id").alias("id")))
+        labels = louvain(doc_graph(spark, sf_dir), good.select(F.col("doc_id").alias("id")))
         return materialize(good.withColumnRenamed("doc_id", "id").join(labels, "id")
                            .select("id", "community", tx.node_text("text").alias("text")), "nodes")
     return stages.cached("computed_nodes", spark, sf_dir, build)
 
 
-COMPUTED_BODY = S.louvain_sweep(f"SELECT doc_id AS u FROM clean WHERE {S.good_line('text')}") + f""",
+COMPUTED_BODY = S.louvain(f"SELECT doc_id AS u FROM clean WHERE {S.good_line('text')}") + f""",
 nodes AS (SELECT c.doc_id AS id, s.c AS community, {S.node_text('c.text')} AS text
           FROM clean c JOIN swept s ON s.u = c.doc_id WHERE {S.good_line('c.text')})"""
 
 
 def computed(sql: str) -> str:
     """An oracle over ``source`` communities, over computed ones instead."""
-    return sql.replace(NODES_BODY, COMPUTED_BODY)
+    return S.recursive(sql.replace(NODES_BODY, COMPUTED_BODY))
 
 
 def community_summaries(spark, sf_dir, nodes=None):

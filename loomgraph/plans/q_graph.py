@@ -105,7 +105,8 @@ def q_louvain_one_level(spark, sf_dir):
     return one_sweep(und, labels.select("id"))
 
 
-@register("louvain")
+@register("louvain", sql=S.recursive(SQL_UNDIRECTED) + ",\n" + S.louvain("SELECT vec_id AS u FROM embeddings") + """
+SELECT u AS id, c AS community FROM swept""")
 def q_louvain(spark, sf_dir):
     """Louvain communities of the kNN graph, ``(id, community)``."""
     und, labels = graph_and_labels(spark, sf_dir)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as tx
-from loomgraph.operators.chunks import global_ordinal, ordinal_in_group
+from loomgraph.operators.chunks import ordinal_in_group
 from loomgraph.plans import sql_text as S
 from loomgraph.plans import stages
 from loomgraph.plans.q_chunks import CHUNK_SIZE, CHUNKS_SQL, doc_chunks
@@ -20,8 +20,8 @@ HEAD_DOCS, HEAD_SENTENCES, HEAD_CHUNKS = 300, 2000, 150
 
 
 def head(df, order: list[str], n: int):
-    """First ``n`` rows in a total order, without sorting in one task."""
-    return global_ordinal(df, order).where(F.col("ordinal") < n).drop("ordinal")
+    """First ``n`` rows in a total order: every task keeps its own ``n`` best."""
+    return df.orderBy(*order).limit(n)
 
 
 @register("missing_community", sql="""

@@ -7,7 +7,7 @@ from loomgraph.operators import chunks as ch
 from loomgraph.operators import graph as g
 from loomgraph.operators import rouge as rg
 from loomgraph.operators import simjoin
-from loomgraph.operators.louvain import louvain
+from loomgraph.operators.louvain import louvain, one_sweep
 
 
 def test_chunks_fixed_size(spark):
@@ -165,6 +165,31 @@ def test_louvain_two_triangles(spark):
     assert got == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 6: 4}
 
 
+def test_louvain_beats_one_sweep(spark):
+    """A planted partition: the whole job is at least as good as its first
+    sweep, every vertex has one label, and a label is its smallest member."""
+    import random
+    rng = random.Random(6)
+    edges = {(i, j): round(rng.random(), 3) for i in range(48) for j in range(i)
+             if rng.random() < (0.5 if i % 4 == j % 4 else 0.06)}
+    e = spark.createDataFrame([(j, i, w) for (i, j), w in edges.items()], "src long, dst long, weight double")
+    v = spark.createDataFrame([(i,) for i in range(50)], "id long")
+    whole, first = louvain(e, v), one_sweep(e, v)
+    q = [g.modularity(e, x).first()["modularity"] for x in (whole, first)]
+    assert q[0] >= q[1] and q[0] > 0.3
+    got = {r.id: r.community for r in whole.collect()}
+    assert sorted(got) == list(range(50)) and got[48] == 48 and got[49] == 49
+    assert all(c == min(i for i in got if got[i] == c) for c in got.values())
+
+
+def test_top_fraction_of_a_large_bin(spark):
+    rows = [(i, "a", 5.0 if i % 3 else 7.0, 900) for i in range(900)] + [(1000, "b", 1.0, 1)]
+    frame = spark.createDataFrame(rows, "id long, community string, centrality double, size long")
+    got = {(r.community, r["rank"]): r.id for r in g.top_fraction(frame).collect()}
+    want = sorted(range(900), key=lambda i: (-rows[i][2], i))[:810]
+    assert got == {("a", n): i for n, i in enumerate(want, 1)}
+
+
 def test_lsh_recall(spark):
     from loomgraph.operators import lsh
     from loomgraph.sources.tables import read_table
