@@ -114,18 +114,23 @@ csum AS (SELECT c.community, CASE WHEN coalesce(trim(p.summary), '') = '' THEN '
          FROM (SELECT DISTINCT community FROM nodes) c LEFT JOIN cpick p USING (community))"""
 
 
+#: modularity a sweep must add: on the documents of sf0.01 the partition has 0.7243
+#: of the 0.7259 that 1e-6 reaches, in about half the rounds
+MIN_GAIN = 1e-3
+
+
 def computed_nodes(spark, sf_dir):
     """Good documents with communities computed on their own graph: the
     Louvain partition of the top-k TF-IDF graph of the same documents."""
     def build():
         good = stages.good_docs(spark, sf_dir)
-        labels = louvain(doc_graph(spark, sf_dir), good.select(F.col("doc_id").alias("id")))
+        labels = louvain(doc_graph(spark, sf_dir), good.select(F.col("doc_id").alias("id")), min_gain=MIN_GAIN)
         return materialize(good.withColumnRenamed("doc_id", "id").join(labels, "id")
                            .select("id", "community", tx.node_text("text").alias("text")), "nodes")
     return stages.cached("computed_nodes", spark, sf_dir, build)
 
 
-COMPUTED_BODY = S.louvain(f"SELECT doc_id AS u FROM clean WHERE {S.good_line('text')}") + f""",
+COMPUTED_BODY = S.louvain(f"SELECT doc_id AS u FROM clean WHERE {S.good_line('text')}", min_gain=MIN_GAIN) + f""",
 nodes AS (SELECT c.doc_id AS id, s.c AS community, {S.node_text('c.text')} AS text
           FROM clean c JOIN swept s ON s.u = c.doc_id WHERE {S.good_line('c.text')})"""
 
