@@ -71,6 +71,10 @@ class ByteBPE:
                 if i != j and j in cuts and token[:j] == token[i:]:
                     overlaps.append(token + token[j:])
         vocab = {self._chars(t): r for t, r in self.ranks.items()}
+        self.token_chars = [self._chars(t) for t in self.token_bytes]
+        self.byte_of = np.zeros(1 + max(map(ord, self.table.values())), np.uint8)  # the byte table reversed
+        for byte, char in self.table.items():
+            self.byte_of[ord(char)] = byte
         self.model = models.BPE(vocab=vocab, merges=merges, ignore_merges=True, cache_capacity=0)
         self.pattern = regex.compile(pattern)
         self.overlaps = ahocorasick.Automaton()
@@ -144,8 +148,10 @@ class ByteBPE:
         return np.frombuffer(b"".join(ids), "<u4")
 
     def decode(self, ids: np.ndarray) -> bytes:
-        """The bytes of the ids; a character split over tokens comes back whole."""
-        return b"".join(map(self.token_bytes.__getitem__, ids.tolist()))
+        """The bytes of the ids: the characters of all tokens together go back
+        through the byte table, so a character split over tokens comes whole."""
+        chars = "".join(map(self.token_chars.__getitem__, ids.tolist()))
+        return self.byte_of[np.frombuffer(chars.encode("utf-16-le"), "<u2")].tobytes()
 
     def offsets(self, ids: np.ndarray) -> list[tuple[int, int]]:
         """Per token the half-open character span it touches in the decoded
