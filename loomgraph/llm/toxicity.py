@@ -4,15 +4,17 @@ Labels come per document, so tokens are labelled first: a word, or one of its
 prefixes, that stands in toxic documents far more often than chance allows (a
 likelihood ratio test over distinct contexts, so copies count once, corrected
 for the number of features tried) marks its tokens in toxic documents; every
-other token is clean. A two-state CRF over
-chains of up to ``CHAIN`` consecutive words is then trained on those labels,
-with hashed features of the word, its prefixes and its suffix. At scoring
-time forward-backward marginals give each word its probability of being
+other token is clean. A two-state CRF over the words of a whole document is
+then trained on those labels, with hashed features of the word, its prefixes
+and its suffix. At scoring time forward-backward marginals give each word its probability of being
 toxic; words at 0.5 or more are the offending spans, and a logistic function
 of the largest, the second largest and the summed marginals is the document's score.
 
-Chains of all documents of a batch advance together, one word a step, so the
-recursions are vector operations. Training works on a bounded sample of
+A document of any length is one chain. Its words are cut into blocks of
+``BLOCK``; the blocks of a batch advance together, one word a step, as vector
+operations. A block maps the odds that reach it to the odds that leave it by
+a product of 2 x 2 matrices, so the odds at every block border are found first
+and the recursions inside the blocks start from them. Training works on a bounded sample of
 labelled rows on the driver; scoring is one pass without any shuffle.
 """
 
@@ -26,10 +28,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-CHAIN = 128          # words in a chain
+BLOCK = 128          # words of a chain that one step sequence covers; results do not depend on it
 CELLS = 1 << 21      # hashed feature weights: far more than features, so few share one
 PREFIXES = (3, 4, 5, 6)
 WORDS_CACHED = 400_000
@@ -56,20 +57,21 @@ def sample(docs: DataFrame, labels: DataFrame, learn: Column, toxic_docs: int =
     Bounded: of the rows of ``labels`` where ``learn`` holds, the
     ``toxic_docs`` and ``clean_docs`` of smallest id hash; of those, texts of
     up to ``max_chars`` characters. Ids labelled twice count as toxic if any
-    label is 1. The ids joined by broadcast are at most ``toxic_docs +
-    clean_docs``; no table is shuffled but the labels.
+    label is 1; of an id held by many rows at most the rows that fit into the
+    bound. The ids joined by broadcast and the rows taken are at most
+    ``toxic_docs + clean_docs``, each class by a top-k over all labels; no
+    table is shuffled but the labels.
     """
     known = (labels.where(learn & F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("y")))
     sizes = {int(r.y): int(r.n) for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
-    w = W.partitionBy("y").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (known.withColumn("r", F.row_number().over(w))
-           .where(F.col("r") <= F.when(F.col("y") == 1, toxic_docs).otherwise(clean_docs))
-           .select(F.col("doc_id").alias("_id"), "y"))
+    drawn = [known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+             for y, n in ((1, toxic_docs), (0, clean_docs))]
+    ids = drawn[0].unionByName(drawn[1]).select(F.col("doc_id").alias("_id"), "y")
     rows = (docs.where(F.length("text").between(1, max_chars)).select(F.col("doc_id").alias("_id"), "text")
-            .join(F.broadcast(ids), "_id").select("_id", "text", "y").collect())
-    rows.sort(key=lambda r: (zlib.crc32(str(r._id).encode()), r._id, r.text))
-    return [(r.text, r.y) for r in rows[:toxic_docs + clean_docs]], sizes
+            .join(F.broadcast(ids), "_id").select("_id", "text", "y")
+            .orderBy(F.crc32(F.col("_id").cast("string")), "_id", "text").limit(toxic_docs + clean_docs).collect())
+    return [(r.text, r.y) for r in rows], sizes
 
 
 def contexts(ids: list[np.ndarray], words: int) -> np.ndarray:
@@ -102,31 +104,87 @@ def toxic_words(of: np.ndarray, toxic: np.ndarray, clean: np.ndarray) -> np.ndar
     return bad[named].any(axis=1)
 
 
-def recursions(e: np.ndarray, size: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Forward and backward odds of state 1 against state 0, ``[step, chain]``,
-    for emission scores ``e`` of that shape and chains of ``size`` steps."""
+def recursions(e: np.ndarray, size: np.ndarray, trans: np.ndarray, prior: np.ndarray | float = 1.0,
+               tail: np.ndarray | float = 1.0) -> tuple[np.ndarray, np.ndarray]:
+    """Forward and backward odds of state 1 against state 0, ``[step, block]``,
+    for emission scores ``e`` of that shape and blocks of ``size`` steps.
+    ``prior`` are the odds of a block's first step before its emission, ``tail``
+    the backward odds of its last step."""
     a = np.exp(trans)
     x = np.exp(np.clip(e, -25, 25))
     fwd, bwd = np.empty_like(x), np.ones_like(x)
-    r = x[0] if len(x) else None
+    before = prior
     for t in range(len(x)):
-        if t:
-            r = x[t] * (a[0, 1] + a[1, 1] * r) / (a[0, 0] + a[1, 0] * r)
-        fwd[t] = r
-    for t in range(len(x) - 2, -1, -1):
-        g = x[t + 1] * bwd[t + 1]
-        bwd[t] = np.where(t + 1 < size, (a[1, 0] + a[1, 1] * g) / (a[0, 0] + a[0, 1] * g), 1.0)
+        fwd[t] = r = x[t] * before
+        before = (a[0, 1] + a[1, 1] * r) / (a[0, 0] + a[1, 0] * r)
+    after = np.zeros(x.shape[1:]) + tail
+    for t in range(len(x) - 1, -1, -1):
+        bwd[t] = after
+        g = x[t] * after
+        after = np.where(t < size, (a[1, 0] + a[1, 1] * g) / (a[0, 0] + a[0, 1] * g), after)
     return fwd, bwd
 
 
-def chains(sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Length of each chain, and step and chain of each word, for documents of
-    ``sizes`` words laid end to end."""
-    n = np.asarray(sizes, dtype=np.int64)
-    per = (n + CHAIN - 1) // CHAIN
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    chain = np.repeat(np.cumsum(per) - per, n) + at // CHAIN
-    return np.bincount(chain, minlength=int(per.sum())), at % CHAIN, chain
+def borders(e: np.ndarray, size: np.ndarray, first: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``prior`` and ``tail`` of each block (see :func:`recursions`), blocks in
+    document order; ``first`` marks the first block of each document.
+
+    With ``A`` the transitions and ``D`` a step's emissions, a block's product
+    ``S = D A ... A D`` takes prior odds to ``A S`` and, transposed, backward
+    odds to ``A^T S^T``. Blocks of equal place in their documents go together.
+    """
+    prior, tail = np.ones(len(size)), np.ones(len(size))
+    place = np.arange(len(size)) - np.maximum.accumulate(np.where(first, np.arange(len(size)), 0))
+    last = np.append(first[1:], True)
+    some = np.flatnonzero(~(first & last))  # blocks of documents of two or more
+    if not len(some):
+        return prior, tail
+    a = np.exp(trans)
+    x, n = np.exp(np.clip(e[:, some].astype(np.float64), -25, 25)), size[some]
+    s11, s10, s01, s00 = x[0].copy(), np.zeros(len(some)), np.zeros(len(some)), np.ones(len(some))
+    for t in range(1, len(x)):
+        live = t < n
+        up1, up0 = x[t] * (a[1, 1] * s11 + a[0, 1] * s01), x[t] * (a[1, 1] * s10 + a[0, 1] * s00)
+        lo1, lo0 = a[1, 0] * s11 + a[0, 0] * s01, a[1, 0] * s10 + a[0, 0] * s00
+        scale = np.where(live, up1 + up0 + lo1 + lo0, 1.0)
+        s11, s10 = np.where(live, up1, s11) / scale, np.where(live, up0, s10) / scale
+        s01, s00 = np.where(live, lo1, s01) / scale, np.where(live, lo0, s00) / scale
+    at = place[some]
+    order = np.argsort(at, kind="stable")
+    cuts = np.split(order, np.searchsorted(at[order], np.arange(1, at.max() + 1)))
+    for here in cuts[:-1]:
+        here = here[~last[some[here]]]
+        u = prior[some[here]]
+        one, zero = s11[here] * u + s10[here], s01[here] * u + s00[here]
+        prior[some[here] + 1] = (a[1, 1] * one + a[0, 1] * zero) / (a[1, 0] * one + a[0, 0] * zero)
+    for here in cuts[:0:-1]:
+        b = tail[some[here]]
+        one, zero = s11[here] * b + s01[here], s10[here] * b + s00[here]
+        tail[some[here] - 1] = (a[1, 1] * one + a[1, 0] * zero) / (a[0, 1] * one + a[0, 0] * zero)
+    return prior, tail
+
+
+class Chains:
+    """Where the words of documents of ``sizes`` words, laid end to end, stand
+    in blocks."""
+
+    def __init__(self, sizes: list[int]):
+        n = np.asarray(sizes, dtype=np.int64)
+        per = (n + BLOCK - 1) // BLOCK
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        self.block = np.repeat(np.cumsum(per) - per, n) + at // BLOCK
+        self.step = at % BLOCK
+        self.size = np.bincount(self.block, minlength=int(per.sum()))
+        self.first = np.zeros(len(self.size), bool)
+        self.first[(np.cumsum(per) - per)[n > 0]] = True
+        self.starts = at == 0  # first words
+
+    def odds(self, e: np.ndarray, trans: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Forward and backward odds of each word for emission scores ``e``."""
+        grid = np.zeros((int(self.size.max()), len(self.size)))
+        grid[self.step, self.block] = e
+        fwd, bwd = recursions(grid, self.size, trans, *borders(grid, self.size, self.first, trans))
+        return fwd[self.step, self.block], bwd[self.step, self.block]
 
 
 class Tagger:
@@ -153,13 +211,9 @@ class Tagger:
         sizes = [len(x) for x in flat]
         if not sum(sizes):
             return flat
-        size, step, chain = chains(sizes)
-        e = np.zeros((int(size.max()), len(size)))
-        e[step, chain] = np.concatenate(flat)
-        fwd, bwd = recursions(e, size, self.trans)
+        fwd, bwd = Chains(sizes).odds(np.concatenate(flat), self.trans)
         odds = fwd * bwd
-        p = (odds / (1 + odds))[step, chain]
-        return np.split(p, np.cumsum(sizes)[:-1])
+        return np.split(odds / (1 + odds), np.cumsum(sizes)[:-1])
 
     def scores(self, texts: list[str | None], at_once: int = 400_000) -> Iterator[tuple[float, list[tuple[int, int, float]]]]:
         """Score and spans ``(begin, end, probability)`` of each whole text."""
@@ -220,29 +274,25 @@ def train(rows: list[tuple[str, int]], sizes: dict[int, int], rounds: int = 40)
     if marked.any():
         used, of = np.unique(of, return_inverse=True)
         of = of.reshape(len(vocab), -1)
-        size, step, chain = chains([len(x) for x in ids])
+        chains = Chains([len(x) for x in ids])
         flat = np.concatenate(ids)
         y = marked[flat] & np.repeat(np.array(ys) == 1, [len(x) for x in ids])
-        e = np.zeros((int(size.max()), len(size)), np.float32)
-        gold = np.zeros(e.shape, bool)
-        gold[step, chain] = y
-        live = np.arange(len(e))[1:, None] < size[None, :]
-        moves = np.array([[((gold[:-1] == i) & (gold[1:] == j) & live).sum() for j in (0, 1)] for i in (0, 1)])
-        del gold
+        live = ~chains.starts[1:]  # pairs of neighbouring words of one document
+        moves = np.bincount((2 * y[:-1] + y[1:])[live], minlength=4).reshape(2, 2)
         own, other = np.zeros(len(used)), np.array([bias, 0, 0, 0, 0])
         moment = [[np.zeros(len(used)), np.zeros(len(used))], [np.zeros(5), np.zeros(5)]]
         for k in range(1, rounds + 1):
             trans = other[1:].reshape(2, 2)
-            e[step, chain] = (own[of].sum(axis=1) + other[0])[flat]
-            fwd, bwd = recursions(e, size, trans)
+            e = (own[of].sum(axis=1) + other[0])[flat]
+            fwd, bwd = chains.odds(e, trans)
             odds = fwd * bwd
-            diff = y - (odds / (1 + odds))[step, chain]
+            diff = y - odds / (1 + odds)
             a = np.exp(trans)
-            after = np.exp(np.clip(e[1:], -25, 25)) * bwd[1:]
-            scale = live / (a[0, 0] + a[0, 1] * after + fwd[:-1] * (a[1, 0] + a[1, 1] * after))
+            before, after = fwd[:-1][live], (np.exp(np.clip(e[1:], -25, 25)) * bwd[1:])[live]
+            scale = 1 / (a[0, 0] + a[0, 1] * after + before * (a[1, 0] + a[1, 1] * after))
             expected = np.array([[a[0, 0] * scale.sum(), a[0, 1] * (scale * after).sum()],
-                                 [a[1, 0] * (scale * fwd[:-1]).sum(), a[1, 1] * (scale * fwd[:-1] * after).sum()]])
-            del fwd, bwd, odds, after, scale
+                                 [a[1, 0] * (scale * before).sum(), a[1, 1] * (scale * before * after).sum()]])
+            del fwd, bwd, odds, before, after, scale
             per_word = np.bincount(flat, weights=diff, minlength=len(vocab))
             grad = np.bincount(of.ravel(), weights=np.repeat(per_word, of.shape[1]), minlength=len(used)) - 0.05 * own
             grad[used == 0] = 0

@@ -56,11 +56,39 @@ def test_toxicity_by_direct_recursions(spark):
     assert set(got) == set(texts)
     for i, text in texts.items():
         words = text.split()
-        # documents are tagged in runs of CHAIN words
-        p = np.concatenate([marginals(tagger, words[k:k + toxicity.CHAIN]) for k in range(0, len(words), toxicity.CHAIN)]) \
-            if words else np.zeros(0)
+        p = marginals(tagger, words) if words else np.zeros(0)  # one chain, whatever its length
         top = [*np.sort(p)[::-1][:2], 0.0, 0.0][:2]
         z = tagger.document @ np.array([1.0, top[0], top[1], np.log1p(p[p > 0.01].sum())])
         assert abs(got[i].score - 1 / (1 + np.exp(-z))) < 1e-6
         assert len(got[i].spans) == int((np.diff(np.append(False, p >= 0.5).astype(int)) == 1).sum())
         assert all(s.p >= 0.5 and text[s.begin:s.end].strip() for s in got[i].spans)
+
+
+def test_chains_of_any_length():
+    """Blocks change nothing: odds of long chains, cut or not, and of strong
+    transitions equal the recursions in logarithms."""
+    rng = np.random.default_rng(3)
+    for trans in (np.zeros((2, 2)), np.array([[3.0, -4.0], [-4.0, 3.0]]), rng.normal(size=(2, 2)) * 3):
+        sizes = [0, 1, 127, 128, 129, 0, 256, 1000, 5, 12_345, 384]
+        e = rng.normal(size=sum(sizes)) * 4
+        fwd, bwd = toxicity.Chains(sizes).odds(e, trans)
+        at = 0
+        for n in sizes:
+            x, f, b = e[at:at + n], [], []
+            for t in range(n):
+                f.append(x[t] + (0 if t == 0 else np.logaddexp(trans[0, 1], trans[1, 1] + f[-1])
+                                 - np.logaddexp(trans[0, 0], trans[1, 0] + f[-1])))
+            for t in range(n - 1, -1, -1):
+                g = 0 if t == n - 1 else x[t + 1] + b[-1]
+                b.append(0.0 if t == n - 1 else np.logaddexp(trans[1, 0], trans[1, 1] + g)
+                         - np.logaddexp(trans[0, 0], trans[0, 1] + g))
+            assert np.allclose(np.log(fwd[at:at + n]), f, atol=1e-6)
+            assert np.allclose(np.log(bwd[at:at + n]), b[::-1], atol=1e-6)
+            at += n
+
+
+def test_sample_of_a_repeated_id_is_bounded(spark):
+    docs = spark.range(3000).select((F.col("id") % 2).alias("doc_id"), F.concat(F.lit("w "), F.col("id")).alias("text"))
+    labels = spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, toxic int")
+    rows, sizes = toxicity.sample(docs, labels, F.lit(True), toxic_docs=10, clean_docs=30)
+    assert len(rows) == 40 and sizes == {0: 1, 1: 1}
