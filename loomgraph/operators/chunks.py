@@ -11,7 +11,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions import text as tx
-from loomgraph.session import ensure_checkpoint_dir, materialize, release
+from loomgraph.operators.packs import pack_assign
+from loomgraph.session import ensure_checkpoint_dir
 
 
 def ordinal_in_group(df: DataFrame, group: str, order: str, bucket: int = 4096) -> DataFrame:
@@ -81,74 +82,6 @@ def chunks_corpus(sentences: DataFrame, chunk_size: int) -> DataFrame:
                                           lambda x: x["sentence"]), " ").alias("text")))
 
 
-def running_total(df: DataFrame, order_cols: list[str], value: str) -> DataFrame:
-    """``ordinal`` (0-based) and ``total`` (sum of ``value`` up to and with the
-    row) in the total order ``order_cols``, by partitions and offsets as in
-    :func:`global_ordinal`."""
-    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ensure_checkpoint_dir(df.sparkSession)
-    ranged = (df.repartitionByRange(n, *order_cols).checkpoint()
-              .withColumn("_p", F.spark_partition_id()))
-    sums = ranged.groupBy("_p").agg(F.count(F.lit(1)).alias("_n"), F.sum(value).alias("_s"))
-    wo = Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: a size-bounded broadcast
-    offsets = F.broadcast(sums.select("_p", F.coalesce(F.sum("_n").over(wo), F.lit(0)).alias("_off"),
-                                      F.coalesce(F.sum("_s").over(wo), F.lit(0)).alias("_before")))
-    wr = Window.partitionBy("_p").orderBy(*order_cols)
-    run = F.sum(value).over(wr.rowsBetween(Window.unboundedPreceding, 0))
-    return (ranged.join(offsets, "_p")
-            .withColumn("ordinal", (F.col("_off") + F.row_number().over(wr) - 1).cast("long"))
-            .withColumn("total", (F.col("_before") + run).cast("long")).drop("_p", "_off", "_before"))
-
-
-def pack_assign(sentences: DataFrame, group: str, order: str, text: str, max_tokens: int) -> DataFrame:
-    """G4 greedy packing per group: sentences in ``order``; a new chunk starts
-    when adding the next sentence would exceed ``max_tokens``; an oversize
-    sentence stands alone. Tokens are whitespace words.
-
-    No step holds a group: with running word counts every sentence knows where
-    the chunk after it would start if one started there, found among the counts
-    of at most ``max_tokens`` words; the real starts are those reached from the
-    group's first sentence, by pointer doubling, in rounds logarithmic in the
-    number of chunks. Returns the sentences with their ``chunk``:
-    ``(group, chunk, order, ntok, text)``."""
-    s = sentences.select(group, order, text, tx.word_count(text).alias("ntok"))
-    rows = materialize(running_total(s, [group, order, "ntok", text], "ntok"), "pack-rows")
-    ends = rows.groupBy(F.col(group).alias("_g")).agg(F.min("ordinal").alias("first"), F.max("ordinal").alias("last"))
-    at = materialize(rows.join(ends, F.col(group).eqNullSafe(F.col("_g")))
-                     .select("first", "last", "ordinal", "total", (F.col("total") - F.col("ntok")).alias("before")),
-                     "pack-at")
-
-    cell = lambda c: F.floor((F.col(c) - F.pmod(F.col(c), F.lit(max_tokens + 1))) / (max_tokens + 1)).cast("long")
-    marks = at.groupBy("first", "total").agg(F.max("ordinal").alias("m")).withColumn("cell", cell("total"))
-    want = (at.drop("total").withColumn("reach", F.col("before") + max_tokens)
-            .withColumn("cell", F.explode(F.array_distinct(F.array(cell("before"), cell("reach"))))))
-    found = (want.join(marks, ["first", "cell"], "left")
-             .withColumn("m", F.when(F.col("total").between(F.col("before"), F.col("reach")), F.col("m")))
-             .groupBy("ordinal", "last").agg(
-                 F.max("m").alias("m"), F.max(F.when(F.col("total") == F.col("before"), F.col("m"))).alias("blank")))
-    # the first sentence with words always fits
-    after = F.greatest(F.col("m") + 1, F.coalesce(F.col("blank") + 1, F.col("ordinal")) + 1)
-    one = materialize(found.withColumn("nxt", after).where("nxt <= last").select("ordinal", "nxt"), "pack-hops")
-
-    starts = materialize(at.where("ordinal = first").select("ordinal", F.lit(0).cast("long").alias("chunk")), "pack-starts")
-    hop, step = one, 1
-    while True:
-        new = starts.join(hop, "ordinal").select(F.col("nxt").alias("ordinal"), (F.col("chunk") + step).alias("chunk"))
-        grown = materialize(starts.unionByName(new), "pack-starts")
-        done = not grown.where(F.col("chunk") >= step).limit(1).count()
-        release(starts)
-        starts = grown
-        if done:
-            break
-        far = hop.select(F.col("ordinal").alias("nxt"), F.col("nxt").alias("far"))
-        hop, step = materialize(hop.join(far, "nxt").select("ordinal", F.col("far").alias("nxt")), "pack-hops"), 2 * step
-
-    spans = starts.join(one, "ordinal", "left").join(at.select("ordinal", "last"), "ordinal")
-    chunks = spans.select("chunk", F.explode(F.sequence("ordinal", F.coalesce(F.col("nxt") - 1, "last"))).alias("ordinal"))
-    return rows.join(chunks, "ordinal").select(group, "chunk", order, "ntok", text)
-
-
 def token_pack(sentences: DataFrame, group: str, order: str, text: str, max_tokens: int) -> DataFrame:
     """G4 packs as texts: ``(group, chunk, n_sentences, n_tokens, text)``."""
     rows = pack_assign(sentences, group, order, text, max_tokens)
