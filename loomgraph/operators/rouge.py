@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from loomgraph.operators import lcs
+from loomgraph.operators.chunks import ordinal_in_group
 
 # Fixed value: ROUGE token pattern on lower-cased text.
 TOKEN = "[a-z0-9]+"
@@ -67,16 +68,39 @@ def rouge_n(pairs: DataFrame, key: list[str], pred: str, ref: str, n: int) -> Da
     return s.select(*key, *scores(F.col("hit"), F.col("np"), F.col("nr")))
 
 
-def rouge_1_by_group(preds: DataFrame, members: DataFrame, key: str, pred: str, text: str) -> DataFrame:
-    """V4: ROUGE-1 of one prediction per ``key`` against all texts of that key,
-    from counts per (key, token): the group's text is never put together, so
-    its size does not matter. ``(key, precision, recall, fmeasure)`` for every
-    key of ``members``; a missing prediction counts as empty (J7)."""
-    def counts(df, col, name):
-        return df.select(key, F.explode(tokens(col)).alias("gram")).groupBy(key, "gram").agg(F.count(F.lit(1)).alias(name))
-    cr = counts(members, text, "cr")
-    cp = counts(preds, pred, "cp")
-    both = cr.join(cp, [key, "gram"], "full").select(
+def border_bigrams(members: DataFrame, key: str, order: str, text: str) -> DataFrame:
+    """``(key, gram)``: the last token of each text with the first token of the
+    next one of its ``key`` by ``order`` (unique in the key), texts without
+    tokens passed over. Neighbours meet by a join on their ordinals, so no
+    window holds a whole key."""
+    rows = members.select(key, order, F.array(tokens(text)).alias("_t")).where(F.size(F.col("_t")[0]) > 0)
+    ends = ordinal_in_group(rows.select(key, order, F.element_at(F.col("_t")[0], 1).alias("_first"),
+                                        F.element_at(F.col("_t")[0], -1).alias("_last")), key, order)
+    after = ends.select(key, (F.col("ordinal") - 1).alias("ordinal"), F.col("_first").alias("_next"))
+    return (ends.select(key, "ordinal", "_last").join(after, [key, "ordinal"])
+            .select(key, F.concat_ws(" ", "_last", "_next").alias("gram")))
+
+
+def rouge_n_by_group(preds: DataFrame, members: DataFrame, key: str, pred: str, text: str, n: int = 1,
+                     order: str | None = None) -> DataFrame:
+    """V4: ROUGE-1 or ROUGE-2 of one prediction per ``key`` against all texts
+    of that key joined by ``order`` (which ROUGE-1 does not need), from counts
+    per (key, gram): the group's text is never put together, so its size does
+    not matter. ``(key, precision, recall, fmeasure)`` for every key of
+    ``members``; a missing prediction counts as empty (J7)."""
+    if n not in (1, 2) or (n == 2 and order is None):
+        raise ValueError("n is 1, or 2 with an order")
+
+    def grams(df, col):
+        bound = df.select(key, F.array(tokens(col)).alias("_t"))
+        return bound.select(key, F.explode(F.transform("_t", lambda x: ngrams(x, n))[0]).alias("gram"))
+
+    def counts(df, name):
+        return df.groupBy(key, "gram").agg(F.count(F.lit(1)).alias(name))
+    of_texts = grams(members, text)
+    if n == 2:
+        of_texts = of_texts.unionByName(border_bigrams(members, key, order, text))
+    both = counts(of_texts, "cr").join(counts(grams(preds, pred), "cp"), [key, "gram"], "full").select(
         key, F.coalesce("cr", F.lit(0)).alias("cr"), F.coalesce("cp", F.lit(0)).alias("cp"))
     sums = both.groupBy(key).agg(F.sum("cr").alias("nr"), F.sum("cp").alias("np"), F.sum(F.least("cr", "cp")).alias("hit"))
     out = members.select(key).distinct().join(sums, key, "left")

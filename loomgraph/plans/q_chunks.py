@@ -80,6 +80,15 @@ def q_length_budget(spark, sf_dir):
                     F.when(F.col("n_tokens") < 10, 1).otherwise(0).alias("skipped"))
 
 
+@register("reduction_targets", sql=SENTS_SQL + f""",
+t AS (SELECT doc_id, CAST(sum({S.word_count('sentence')}) AS BIGINT) AS total FROM sents GROUP BY doc_id)
+SELECT doc_id, total, greatest(60, CAST(floor(CAST(total AS DOUBLE) * CAST(0.7 AS DOUBLE)) AS BIGINT)) AS target FROM t""")
+def q_reduction_targets(spark, sf_dir):
+    """The words each document's kept sentences are to be reduced to."""
+    t = sentences(spark, sf_dir).groupBy("doc_id").agg(F.sum(tx.word_count("sentence")).cast("long").alias("total"))
+    return t.select("doc_id", "total", ch.reduction_target("total").alias("target"))
+
+
 @register("fuzzy_dedup_in_text")
 def q_fuzzy_dedup_in_text(spark, sf_dir):
     """G5 on every chunk text: ``(doc_id, chunk, text)`` with near-repeated

@@ -129,14 +129,27 @@ rpairs AS (SELECT t.community, coalesce(s.summary, '') AS pred, t.text AS ref
            FROM ctexts t LEFT JOIN csum s USING (community))"""
 
 
-@register("rouge_by_community", sql=rouge_sql(COMM_PAIRS_SQL, ["community"], 1) + """
-SELECT community, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS fmeasure FROM rscore""")
-def q_rouge_by_community(spark, sf_dir):
-    """V4 + J7: each community's summary against all its member texts."""
+COMM_ROUGE_SQL = """
+SELECT community, round(p, 6) AS precision, round(r, 6) AS recall, round(f, 6) AS fmeasure FROM rscore"""
+
+
+def rouge_by_community(spark, sf_dir, n):
     nodes = materialize(q_condense.doc_nodes(spark, sf_dir), "nodes")
     preds = q_condense.community_summaries(spark, sf_dir, nodes).select("community", F.col("summary").alias("pred"))
-    refs = nodes.where(tx.non_blank("text")).select("community", "text")
-    return rounded(rg.rouge_1_by_group(preds, refs, "community", "pred", "text"), ["community"])
+    refs = nodes.where(tx.non_blank("text")).select("community", "id", "text")
+    return rounded(rg.rouge_n_by_group(preds, refs, "community", "pred", "text", n, "id"), ["community"])
+
+
+@register("rouge_by_community", sql=rouge_sql(COMM_PAIRS_SQL, ["community"], 1) + COMM_ROUGE_SQL)
+def q_rouge_by_community(spark, sf_dir):
+    """V4 + J7: each community's summary against all its member texts."""
+    return rouge_by_community(spark, sf_dir, 1)
+
+
+@register("rouge2_by_community", sql=rouge_sql(COMM_PAIRS_SQL, ["community"], 2) + COMM_ROUGE_SQL)
+def q_rouge2_by_community(spark, sf_dir):
+    """V4 with ROUGE-2: bigrams of the member texts joined in id order."""
+    return rouge_by_community(spark, sf_dir, 2)
 
 
 # ------------------------------------------------------------- retrieval

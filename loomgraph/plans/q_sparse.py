@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from loomgraph.operators import dense
 from loomgraph.operators import sentences as st
+from loomgraph.operators import simjoin
 from loomgraph.operators import sparse_knn
 from loomgraph.operators import tfidf as tv
 from loomgraph.plans import sql_text as S
@@ -90,3 +92,29 @@ def q_query_vectors(spark, sf_dir):
     bench = read_table(spark, sf_dir, "benchmark")
     qv = tv.embed_queries(space, bench, "item_id", "text")
     return qv.select(F.col("id").alias("item_id"), "term", F.round("weight", 6).alias("weight"))
+
+
+DENSE_DIM = 256
+
+
+def dense_vectors(spark, sf_dir):
+    """Dense vectors of the good documents: ``(doc_id, embedding)``."""
+    def build():
+        good = good_docs(spark, sf_dir)
+        model = dense.fit(good, "doc_id", "text", DENSE_DIM)
+        return materialize(dense.transform(good, model, "doc_id", "text"), "dense")
+    return stages.cached("dense_vectors", spark, sf_dir, build)
+
+
+@register("dense_tfidf")
+def q_dense_tfidf(spark, sf_dir):
+    """E1 dense: hashed TF-IDF vectors of 256 cells (no SQL for the hash; tested
+    against a direct computation)."""
+    return dense_vectors(spark, sf_dir)
+
+
+@register("dense_knn")
+def q_dense_knn(spark, sf_dir):
+    """J2 over the dense text vectors: the exact ``K`` nearest by cosine (tested
+    against all pairs)."""
+    return simjoin.knn_edges(dense_vectors(spark, sf_dir), K, "doc_id", "embedding")
