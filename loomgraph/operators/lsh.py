@@ -5,9 +5,10 @@ For inputs too large for the exact tiled product. Each vector gets
 batch; the hyperplane matrix has a fixed size, ``bands * rows * dim``).
 Vectors sharing a band signature are candidates. Inside a bucket nothing
 is enumerated pair by pair: the bucket is cut into hash blocks of at most
-``block_rows`` rows and block pairs meet in ``cogroup`` tiles that keep the
-``k`` best per row with BLAS, as in the exact join. A hot bucket (even a
-third of all rows) becomes many bounded tasks. Candidates found in several
+``block_rows`` rows and 32 MB, each unordered pair of blocks meets once, and a task
+keeps the ``k`` best per row with BLAS in strips, as in the exact join. A row is sent once
+a band and block of its bucket; a hot bucket (even a third of all rows) becomes many bounded tasks.
+Candidates found in several
 bands are merged and a window keeps the ``k`` best.
 """
 
@@ -17,11 +18,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomgraph.functions.vectors import l2_normalize
-from loomgraph.operators.simjoin import COSINE, _TILE_SCHEMA, _tile_fn
+from loomgraph.operators import tiles
+
+BLOCK_BYTES = 32 << 20
 
 
 def _signatures(dim: int, bands: int, rows: int, seed: int):
@@ -45,27 +50,36 @@ def _signatures(dim: int, bands: int, rows: int, seed: int):
 
 
 def knn_lsh(vectors: DataFrame, k: int, id_col: str = "vec_id", vec_col: str = "embedding",
-            bands: int = 24, rows: int = 4, block_rows: int = 512, seed: int = 7) -> DataFrame:
+            bands: int = 24, rows: int = 4, block_rows: int = 65_536, seed: int = 7) -> DataFrame:
     """Approximate directed top-k cosine neighbours: ``(src, dst, sim, rank)``."""
     unit = vectors.select(F.col(id_col).cast("long").alias("id"), l2_normalize(vec_col).alias("v"))
     dim = unit.select(F.max(F.size("v"))).first()[0] or 0
     sig = unit.mapInPandas(_signatures(dim, bands, rows, seed),
                            "id long, v array<double>, band int, bucket long")
+    most = max(1, min(block_rows, BLOCK_BYTES // (8 * max(1, dim))))
     sizes = sig.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("m"))
-    nb = F.greatest(F.lit(1), F.ceil(F.col("m") / F.lit(block_rows))).cast("int")
+    nb = F.ceil(F.col("m") / F.lit(most)).cast("int")
     sized = sig.join(sizes.select("band", "bucket", nb.alias("nb")), ["band", "bucket"])
-    blk = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
-    left = (sized.withColumn("lb", blk)
-            .withColumn("rb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-            .select("band", "bucket", "lb", "rb", "id", "v"))
-    # fresh attribute ids for the second use of the same rows (self cogroup)
-    again = sized.select(*[F.col(c).alias(c) for c in sized.columns])
-    right = (again.withColumn("rb", blk)
-             .withColumn("lb", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-             .select("band", "bucket", "lb", "rb", "id", "v"))
-    keys = ["band", "bucket", "lb", "rb"]
-    cand = (left.groupBy(*keys).cogroup(right.groupBy(*keys))
-            .applyInPandas(_tile_fn(k, COSINE, True), _TILE_SCHEMA))
+    own = F.pmod(F.xxhash64("id"), F.col("nb")).cast("int")
+    met = (sized.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
+           .select("band", "bucket", F.least("own", "other").alias("a"), F.greatest("own", "other").alias("b"), "own", "id", "v"))
+
+    def tile(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
+        mine = pa.array(part.column("own").to_numpy() == key[2].as_py())
+        sides = []
+        for side in (part.filter(mine), part.filter(pc.invert(mine))):
+            side = side.combine_chunks()
+            if side.num_rows:
+                block = tiles.Dense.of(side.column("id").chunk(0), side.column("v").chunk(0))
+                sides.append((block, tiles.Best(block.ids, k)))
+        one, best = sides[0]
+        if key[2] == key[3]:
+            one.meet(one, best, None)
+        elif len(sides) > 1:
+            one.meet(sides[1][0], best, sides[1][1])
+        return pa.Table.from_batches([found.rows() for _, found in sides])
+
+    cand = met.groupBy("band", "bucket", "a", "b").applyInArrow(tile, tiles.EDGES)
     best = cand.groupBy("src", "dst").agg(F.max("score").alias("score"))
     w = Window.partitionBy("src").orderBy(F.col("score").desc(), F.col("dst").asc())
     out = best.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
