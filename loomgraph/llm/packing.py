@@ -62,6 +62,12 @@ class WordBPE:
         self.words, self.pieces = Cache(self.word, WORDS), Cache(self.piece, PIECES)
         self.others = Cache(self.other, WORDS // 10)
 
+    def forget(self) -> None:
+        """Empty the caches, which would fill the worker through later stages."""
+        for cache in (self.words, self.pieces, self.others):
+            cache.clear()
+            cache.older = {}
+
     @staticmethod
     def _fits(spec: dict) -> bool:
         steps = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
@@ -199,7 +205,9 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, length: int = 20
                 ["id", "p", "before", "n", "ids"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kind = model(tokenizer_path).kind
+        bpe = model(tokenizer_path)
+        kind = bpe.kind
+        bpe.forget()  # all texts are tokenized
         for batch in batches:
             out: list[tuple] = []
             for doc, begin, n, raw in zip(*(batch.column(c).to_pylist() for c in ("id", "begin", "n", "ids"))):
