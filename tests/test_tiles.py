@@ -66,3 +66,11 @@ def test_sparse_entries_are_shuffled_once(spark):
     v = spark.createDataFrame([(i, t, 1.0) for i in range(40) for t in range(i % 5, 9)], "id long, tid long, weight double")
     plan = _plan(sparse_knn.topk_sparse(v, 3, block_postings=20))
     assert "CartesianProduct" in plan and "Generate" not in plan
+
+
+def test_null_and_uneven_vectors_are_refused():
+    import pyarrow as pa
+    import pytest
+    for bad in ([[1.0, 2.0], None], [[1.0], [1.0, 2.0, 3.0]]):
+        with pytest.raises(ValueError):
+            tiles.Dense.of(pa.array([1, 2]), pa.array(bad, pa.list_(pa.float64())))
