@@ -29,10 +29,11 @@ def l2_norm(v) -> Column:
 
 
 def l2_normalize(v) -> Column:
-    """Row L2 normalisation; a zero vector is returned unchanged."""
+    """Row L2 normalisation; a zero vector is returned unchanged (P9). The norm is
+    bound by an array of one: inside the lambda it would be summed for every element."""
     d = as_double(v)
-    n = l2_norm(d)
-    return F.when(n > 0, F.transform(d, lambda x: x / n)).otherwise(d)
+    return F.transform(F.array(l2_norm(d)),
+                       lambda n: F.when(n > 0, F.transform(d, lambda x: x / n)).otherwise(d))[0]
 
 
 def dot(a, b) -> Column:

@@ -26,7 +26,7 @@ from loomgraph.session import materialize
 
 COSINE = "cosine"
 SQEUCLIDEAN = "sqeuclidean"
-PART_BYTES = 32 << 20  # of packed rows in a partition of the table of blocks
+PART_BYTES = 64 << 20  # of packed rows in a partition of the table of blocks
 
 
 def topk_join(left: DataFrame, right: DataFrame, k: int, metric: str = COSINE,

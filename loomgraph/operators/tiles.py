@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 EDGES = "src long, dst long, score double"
 SLACK = 2e-6  # more than rounding to 6 places moves a score
 STRIP_ROWS, STRIP_COLS = 256, 2048
+EXACT = 1 << 18  # numbers of rows multiplied in double precision at once
 
 
 class Best:
@@ -53,8 +54,10 @@ class Best:
                 low = np.nextafter(low.astype(scores.dtype), scores.dtype.type(-np.inf))
             return scores[:, some] >= low if turned else scores[some] >= low[:, None]
         mask = passing()
-        many = np.flatnonzero(np.count_nonzero(mask, axis=0 if turned else 1) > 4 * self.k)
-        if cols > self.k and len(many):  # the k-th best of these columns is a bound, too
+        many = np.zeros(0, np.int64)
+        if cols > self.k and np.count_nonzero(mask) > rows:
+            many = np.flatnonzero(np.count_nonzero(mask, axis=0 if turned else 1) > 4 * self.k)
+        if len(many):  # the k-th best of these columns is a bound, too
             best = np.partition(scores[:, many].T if turned else scores[many], cols - self.k, axis=1)[:, cols - self.k]
             least[many] = np.maximum(least[many], best.astype(float) - slack)
             mask[(slice(None), many) if turned else many] = passing(many)
@@ -88,6 +91,14 @@ class Dense:
     def __init__(self, ids: np.ndarray, rows: np.ndarray):
         self.ids, self.rows = ids, rows
         self.finite = bool(np.isfinite(rows).all())
+        self._single = None
+
+    def single(self) -> tuple[np.ndarray, float]:
+        """The rows in single precision, and the length of the longest one."""
+        if self._single is None:
+            longest = np.sqrt(np.einsum("ij,ij->i", self.rows, self.rows).max(initial=0.0))
+            self._single = self.rows.astype(np.float32) if longest < 1e15 else self.rows, float(longest)
+        return self._single
 
     @classmethod
     def of(cls, ids: pa.Array, vectors: pa.Array) -> Dense:
@@ -98,7 +109,14 @@ class Dense:
         return cls(ids[order], flat.reshape(len(ids), -1)[order])
 
     def meet(self, other: Dense, mine: Best, theirs: Best | None, squared: bool = False, exclude_self: bool = True) -> None:
-        """Offer all rows of ``other`` to these, and these to ``theirs`` if given."""
+        """Offer all rows of ``other`` to these, and these to ``theirs`` if given. Inner
+        products are made in single precision where all numbers are finite, and those that
+        may be among the best again in double precision."""
+        x, y, error = self.rows, other.rows, 0.0
+        single = not squared and self.finite and other.finite
+        if single:
+            (x, length), (y, lengths) = self.single(), other.single()
+            error = 1.2e-7 * (x.shape[1] + 4) * length * lengths
         if squared:
             norm, norms = (self.rows ** 2).sum(1), (other.rows ** 2).sum(1)
         same = np.isin(other.ids, self.ids) if exclude_self else np.zeros(len(other.ids), bool)
@@ -106,7 +124,7 @@ class Dense:
             a = self.rows[i:i + STRIP_ROWS]
             for j in range(0, len(other.ids), STRIP_COLS):
                 b, ids = other.rows[j:j + STRIP_COLS], other.ids[j:j + STRIP_COLS]
-                s, slack = a @ b.T, SLACK
+                s, slack = x[i:i + STRIP_ROWS] @ y[j:j + STRIP_COLS].T, SLACK + error
                 if squared:
                     n, m = norm[i:i + STRIP_ROWS, None], norms[None, j:j + STRIP_COLS]
                     s, slack = 2.0 * s - n - m, SLACK + 1e-12 * (n.max() + m.max())
@@ -119,6 +137,12 @@ class Dense:
                     s[low, own], low = -np.inf, low + 1
 
                 def exact(r, c):
+                    if single:
+                        out = np.empty(len(r))
+                        for at in range(0, len(r), step := max(1, EXACT // max(1, a.shape[1]))):
+                            some = slice(at, at + step)
+                            out[some] = np.einsum("ij,ij->i", a[r[some]], b[c[some]])
+                        return np.where(np.isneginf(s[r, c]), -np.inf, np.round(out, 6))
                     if not squared:
                         return np.round(s[r, c], 6)
                     return np.where(np.isneginf(s[r, c]), -np.inf, -np.round(((a[r] - b[c]) ** 2).sum(1), 6))
@@ -186,10 +210,10 @@ def topk(left: DataFrame, right: DataFrame | None, load: Callable, k: int, above
 
 
 def dense_blocks(rows: DataFrame, parts: int, block_rows: int) -> DataFrame:
-    """In ``parts`` partitions, blocks of ``rows (id, v)``, of at most ``block_rows`` rows and 4 MB."""
+    """In ``parts`` partitions, blocks of ``rows (id, v)``, of at most ``block_rows`` rows and 16 MB."""
     def full(t: pa.Table) -> int:
         width = max(1, len(t.column("v")[0])) if t.num_rows else 1
-        most = max(1, min(block_rows, (1 << 19) // width))
+        most = max(1, min(block_rows, (1 << 21) // width))
         return most if t.num_rows >= most else 0
 
     def pack(t: pa.Table) -> list[bytes]:

@@ -62,3 +62,33 @@ def test_rouge_2_of_a_group_sees_over_text_borders(spark):
         a, b = (Counter(zip(x.split(), x.split()[1:])) for x in (pred, ref))
         hit = sum((a & b).values())
         assert np.allclose(got[k], (hit / (a.total() or 1), hit / (b.total() or 1)))
+
+
+def test_single_precision_never_decides_a_rank():
+    """Products that differ by less than single precision rank by double precision, and a row that
+    meets its own id keeps out of its neighbours."""
+    from loomgraph.operators import tiles
+    rng = np.random.default_rng(9)
+    rows = np.tile(rng.random(40), (300, 1)) + rng.random((300, 40)) * 4e-6
+    rows[250:] = rng.standard_normal((50, 40))
+    rows[-1] = 0
+    rows /= np.maximum(np.sqrt((rows * rows).sum(axis=1, keepdims=True)), 1e-300)
+    ids = np.sort(rng.permutation(1000)[:300]).astype(np.int64)
+    block = tiles.Dense(ids, rows)
+    assert block.single()[0].dtype == np.float32
+    best = tiles.Best(ids, 4)
+    block.meet(block, best, None)
+    s = np.round(np.einsum("ik,jk->ij", rows, rows), 6)
+    for r, (score, dst) in enumerate(zip(best.score, best.dst)):
+        want = sorted((-s[r, c], int(j)) for c, j in enumerate(ids) if c != r)[:4]
+        assert [(-x, d) for x, d in zip(score, dst)] == want
+
+
+def test_a_norm_is_summed_once_a_row(spark):
+    """Before, the norm stood inside the lambda, so it was summed again for every element."""
+    from loomgraph.functions.vectors import l2_normalize
+    rows = [(0, [3.0, 4.0]), (1, [0.0, 0.0]), (2, None), (3, []), (4, [1.0, None])]
+    frame = spark.createDataFrame(rows, "i int, v array<float>").select("i", l2_normalize("v").alias("u"))
+    assert frame._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") <= 1
+    got = {r.i: r.u for r in frame.collect()}
+    assert got[0] == [0.6, 0.8] and got[1] == [0.0, 0.0] and got[2] is None and got[3] == [] and got[4] == [1.0, None]
